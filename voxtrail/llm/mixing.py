@@ -7,6 +7,8 @@ Defined results: a null text has size 0; a null source is a source of its own, l
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -50,7 +52,7 @@ def _ordered(docs: DataFrame, scratch: Scratch, weights, cap, seed, doc_id, text
     """(doc_id, source, size, key) with the source's figures and before, the words of the rows of its source with smaller keys."""
     sized = scratch.table(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), mix_key(seed, doc_id, text).alias("key")), "sized")
     per_source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows")), weights, cap)
-    per_source = per_source.withColumn("budget", F.round("target").cast("long")).withColumn("digits", F.greatest(F.lit(0), F.ceil(F.log(F.lit(16.0), F.col("source_rows") / RANGE_ROWS))).cast("int"))
+    per_source = per_source.withColumn("budget", F.round("target").cast("long")).withColumn("digits", F.greatest(F.lit(0), F.ceil(F.log(F.col("source_rows") / RANGE_ROWS) / math.log(16))).cast("int"))
     per_source = scratch.table(per_source.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(0).cast("long")), "sources")
     # the figures of a few sources are joined by value; Spark broadcasts them while their files are below its threshold
     keyed = sized.alias("d").join(per_source.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("d.doc_id", "d.source", "d.size", "d.key", "source_size", "target", "budget", "epochs", F.expr("substring(d.key, 1, digits)").alias("range"))

@@ -95,61 +95,61 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def js_distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance, base 2, of two arrays of counts."""
-    total = lambda x: F.greatest(F.aggregate(x, F.lit(0.0), lambda s, v: s + v), F.lit(1e-12))
-    term = lambda a, m: F.when(a > 0, a * F.log2(a / m)).otherwise(0.0)
-    parts = F.zip_with(p, q, lambda a, b: F.struct((a / total(p)).alias("a"), (b / total(q)).alias("b")))
-    both = F.transform(parts, lambda x: (term(x["a"], (x["a"] + x["b"]) / 2) + term(x["b"], (x["a"] + x["b"]) / 2)) / 2)
-    return F.sqrt(F.greatest(F.aggregate(both, F.lit(0.0), lambda s, v: s + v), F.lit(0.0)))
+def js_distance(p, q) -> float:
+    """Jensen-Shannon distance, base 2, of two histograms of counts."""
+    p, q = np.asarray(p, float), np.asarray(q, float)
+    p, q = p / max(p.sum(), 1e-12), q / max(q.sum(), 1e-12)
+    m = (p + q) / 2
+    term = lambda a: (a[a > 0] * np.log2(a[a > 0] / m[a > 0])).sum()
+    return float(np.sqrt(max(0.0, (term(p) + term(q)) / 2)))
 
 
-def references(measured: DataFrame) -> DataFrame:
-    """A row for each language: the sums of the histograms of its documents that pass the base rules and the minimum lengths."""
+def references(measured: DataFrame) -> dict:
+    """For each language the sums of the histograms of its documents that pass the base rules and the minimum lengths."""
     n = len(next(iter(COMMON_WORDS.values()))) + 1
-    sums = lambda c, n: F.array(*[F.sum(F.element_at(c, i + 1).cast("long")).cast("double") for i in range(n)])
+    sums = lambda c, n: F.array(*[F.sum(F.element_at(c, i + 1).cast("long")) for i in range(n)])
     good = measured.where(~base_failed() & (F.col("n_points") >= MIN_CHARS) & (F.col("n_words") >= MIN_COMMON))
-    return good.groupBy(F.col("language").alias("reference")).agg(sums("class_ppm", len(CLASSES)).alias("class_ref"), sums("word_ppm", n).alias("word_ref"), F.count("*").alias("n_reference")).where(F.col("n_reference") >= MIN_REFERENCE)
+    found = good.groupBy("language").agg(sums("class_ppm", len(CLASSES)).alias("kinds"), sums("word_ppm", n).alias("common"), F.count("*").alias("n"))
+    # a row for each of the languages of COMMON_WORDS at most
+    return {r["language"]: (r["kinds"], r["common"]) for r in found.where(F.col("n") >= MIN_REFERENCE).collect()}
+
+
+def distances(language: str, n_words: int, points: int, kinds: list, common: list, refs: dict) -> tuple[float | None, float | None]:
+    """Distances of the character classes and the common words; None: too short, or no reference."""
+    if language not in refs:
+        return None, None
+    return js_distance(kinds, refs[language][0]) if points >= MIN_CHARS else None, js_distance(common, refs[language][1]) if n_words >= MIN_COMMON else None
+
+
+def diverges(class_distance: float | None, word_distance: float | None) -> bool:
+    return (class_distance or 0) > MAX_CLASS_DISTANCE or (word_distance or 0) > MAX_WORD_DISTANCE
 
 
 def quality_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """doc_id, the base counts, base_failed, class_distance, word_distance (null: not compared) and kept, for every row."""
-    scratch = Scratch(docs.sparkSession, "quality")
-    measured = scratch.table(_measured(docs, doc_id, text, lang), "measured")
-    refs = scratch.table(references(measured), "references")
-    # refs has a row for each of the languages of COMMON_WORDS at most
-    joined = measured.join(F.broadcast(refs), measured["language"] == refs["reference"], "left")
-    distance = lambda a, b: js_distance(F.transform(a, lambda x: x.cast("double")), F.col(b))
-    return (
-        joined.withColumn("class_distance", F.when(F.col("n_points") >= MIN_CHARS, distance("class_ppm", "class_ref")))
-        .withColumn("word_distance", F.when(F.col("n_words") >= MIN_COMMON, distance("word_ppm", "word_ref")))
-        .withColumn("base_failed", base_failed())
-        .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("class_distance") > MAX_CLASS_DISTANCE, F.lit(False)) & ~F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False)))
-        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "language", "class_distance", "word_distance", "base_failed", "kept")
-    )
+    """doc_id, the base counts, language, base_failed, class_distance, word_distance (null: not compared) and kept, for every row."""
+    measured = Scratch(docs.sparkSession, "quality").table(_measured(docs, doc_id, text, lang), "measured")
+    refs = references(measured)
+    own = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "language", "base_failed"]
+
+    def run(batches):
+        for b in batches:
+            got = [distances(*x, refs) for x in zip(*(b.column(k).to_pylist() for k in ("language", "n_words", "n_points", "class_ppm", "word_ppm")))]
+            kept = [not failed and not diverges(*x) for failed, x in zip(b.column("base_failed").to_pylist(), got)]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in own), pa.array([x[0] for x in got], pa.float64()), pa.array([x[1] for x in got], pa.float64()), pa.array(kept, pa.bool_())], names=[*own, "class_distance", "word_distance", "kept"])
+
+    counts = ", ".join(f"{k} long" for k in own[:6])
+    return measured.withColumn("base_failed", base_failed()).mapInArrow(run, f"{counts}, language string, base_failed boolean, class_distance double, word_distance double, kept boolean")
 
 
 def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of docs that the rules keep, as they are.
 
     The references come from a first pass over docs; the second judges each row where it stands, so no text is shuffled."""
-    found = references(_measured(docs, doc_id, text, lang)).collect()  # a row for each of the languages of COMMON_WORDS at most
-    refs = {r["reference"]: (np.array(r["class_ref"]), np.array(r["word_ref"])) for r in found}
-
-    def distance(p, q) -> float:
-        p, q = np.asarray(p, float), np.asarray(q, float)
-        p, q = p / max(p.sum(), 1e-12), q / max(q.sum(), 1e-12)
-        m = (p + q) / 2
-        term = lambda a: (a[a > 0] * np.log2(a[a > 0] / m[a > 0])).sum()
-        return float(np.sqrt(max(0.0, (term(p) + term(q)) / 2)))
+    refs = references(_measured(docs, doc_id, text, lang))
 
     def good(data, language) -> bool:
         n, _, _, _, repeat, language, points, kinds, common = measure(data, language)
-        if n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * n:
-            return False
-        if language not in refs:
-            return True
-        return not (points >= MIN_CHARS and distance(kinds, refs[language][0]) > MAX_CLASS_DISTANCE or n >= MIN_COMMON and distance(common, refs[language][1]) > MAX_WORD_DISTANCE)
+        return n >= MIN_WORDS and 100 * repeat <= MAX_REPEAT_PERCENT * n and not diverges(*distances(language, n, points, kinds, common, refs))
 
     at = [docs.columns.index(text), docs.columns.index(lang)]
 
