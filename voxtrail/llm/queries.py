@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .minhash import near_duplicates
 from .mixing import mix
 from .quality import quality_scores
 
@@ -13,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = quality_scores(table(spark, sf_dir, "documents"))
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "language", F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"))
@@ -23,6 +28,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_minhash": op4_minhash,
     "op5_quality": op5_quality,
     "op8_mixing": op8_mixing,
 }
@@ -31,6 +37,19 @@ QUERIES = {
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE = {
+    "op4_minhash": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+texts AS (SELECT min(doc_id) AS rep, list_sort(s) AS s FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+flat AS (SELECT rep, len(s) AS n, unnest(s) AS x FROM texts),
+pairs AS (SELECT a.rep AS a, b.rep AS b FROM flat a JOIN flat b ON a.x = b.x AND a.rep < b.rep GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reach(node, low) AS (SELECT rep, rep FROM texts UNION SELECT e.b, r.low FROM reach r JOIN edges e ON e.a = r.node),
+roots AS (SELECT node, min(low) AS low FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(r.low, d.doc_id) AS component_id, d.doc_id = coalesce(r.low, d.doc_id) AS kept
+FROM sets d LEFT JOIN texts t ON list_sort(d.s) = t.s LEFT JOIN roots r ON r.node = t.rep""",
     "op8_mixing": rf"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size,
