@@ -4,15 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voxtrail.llm.decontaminate import drop_leaks
+from voxtrail.llm.minhash import drop_near_duplicates
 from voxtrail.llm.mixing import mix_documents
 from voxtrail.llm.quality import keep_good
+from voxtrail.llm.shards import shard_documents
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the divergence from their language reject go."""
+    return keep_good(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    return drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target weight asks."""
+    return mix_documents(docs)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in shards of the target size, with the number of their shard."""
+    return shard_documents(docs)[1]
+
 
 STAGES = [
-    ("quality rules", lambda spark, docs, sf_dir: keep_good(docs)),
-    ("mixing to target weights", lambda spark, docs, sf_dir: mix_documents(docs)),
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing to target weights", mixing),
+    ("sharding", sharding),
 ]
 
-#: The mix and the shards depend on hashes and files that SQL doesn't have; tests hold the stages against brute force.
+#: The stages' sketches, edit distances and files are beyond SQL; tests hold them against brute force.
 ORACLE_SQL = None
 
 

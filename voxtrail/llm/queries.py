@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import leaks
 from .minhash import near_duplicates
 from .mixing import mix
 from .quality import quality_scores
+from .shards import shard_documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -27,10 +33,18 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's shard, and what a reader finds there."""
+    rows = shard_documents(table(spark, sf_dir, "documents"))[1]
+    return rows.select("doc_id", "source", F.length("text").alias("n_points"), F.md5("text").alias("text_md5"), "shard")
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op4_minhash": op4_minhash,
     "op5_quality": op5_quality,
     "op8_mixing": op8_mixing,
+    "op9_sharding": op9_sharding,
 }
 
 #: Words, as the operators take them.

@@ -51,16 +51,18 @@ def spans(data: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.n
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """A hash for each run of characters other than ASCII white space."""
+def word_hashes(data: bytes, places: list | None = None) -> np.ndarray:
+    """A hash for each run of characters other than ASCII white space; places, if given, gets the arrays of their first bytes."""
     found, at = [], 0
     while at < len(data):
         end = at + PIECE
         while end < len(data) and not SPACE[data[end]]:
             end += 1
         piece = np.frombuffer(data, np.uint8, min(end, len(data)) - at, at)
-        at = end
         starts, ends = spans(piece)
+        if places is not None:
+            places.append(starts + at)
+        at = end
         sums = np.zeros(len(piece) + 1, np.uint64)
         np.cumsum(_BYTE[piece] * _power(_BASE, len(piece)), out=sums[1:])
         found.append(mixed((sums[ends] - sums[starts]) * _power(_INVERSE, len(piece))[starts] + (ends - starts).astype(np.uint64) * _LENGTH))
