@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import secrets
 from .decontaminate import leaks
 from .minhash import near_duplicates
 from .mixing import mix
@@ -39,18 +40,24 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "source", F.length("text").alias("n_points"), F.md5("text").alias("text_md5"), "shard")
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op4_minhash": op4_minhash,
     "op5_quality": op5_quality,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
+    "op10_secrets": op10_secrets,
 }
 
 #: Words, as the operators take them.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE = {
+    "op10_secrets": secrets.oracle_sql(),
     "op4_minhash": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
