@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_
     members = scratch.table(members.join(buckets, "key"), "candidates")
     scratch.drop("members")
     scratch.drop("buckets")
-    # the sets of the classes that share a bucket, each from one of its rows
+    # the sets of the classes that share a bucket, each from one of its rows; neither side of the join is bounded, so it is a merge at any size
     wanted = members.select("id").distinct()
     rows = has_set.select("id", F.coalesce("doc_id", F.lit(-1)).alias("row"), "text_key")
     chosen = rows.join(wanted, "id", "left_semi").groupBy("id").agg(F.min(F.struct("row", "text_key")).alias("x")).select("id", F.col("x.row").alias("row"), F.col("x.text_key").alias("text_key"))
@@ -186,7 +186,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(x).tobytes() for x in b.column(1).to_pylist()], pa.binary())], names=["id", "set"])
 
-    sets = scratch.table(chosen.join(texts, ["row", "text_key"]).dropDuplicates(["row", "text_key"]).select("id", "data").mapInArrow(to_sets, "id long, set binary"), "sets")
+    sets = scratch.table(chosen.join(texts.hint("merge"), ["row", "text_key"]).dropDuplicates(["row", "text_key"]).select("id", "data").mapInArrow(to_sets, "id long, set binary"), "sets")
     first = members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     links = scratch.table(_verified(first, sets, percent), "links-1")
     labels = connected_components(links, scratch, "first")
@@ -221,7 +221,7 @@ def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str =
     other = F.struct("last", "row", "text_key") != F.col("first")
     gone = scratch.table(rows.join(first, "label").where(other).select(F.col("row").alias("__row"), F.col("text_key").alias("__key")).distinct(), "gone")
     key = [F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)), F.xxhash64(text)]
-    left = docs.withColumns({"__at": key[0], "__text": key[1]})
+    left = docs.withColumns({"__at": key[0], "__text": key[1]}).hint("merge")
     left = left.join(gone, (F.col("__at") == gone["__row"]) & (F.col("__text") == gone["__key"]), "left_anti")
     twice = rows.groupBy(F.col("row").alias("__row"), F.col("text_key").alias("__key")).agg(F.count("*").alias("__n")).where("__n > 1").select("__row", "__key")
     twice = scratch.table(twice, "twice")
