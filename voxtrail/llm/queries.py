@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets
+from . import links, secrets, warc
+from .common import Scratch
 from .decontaminate import leaks
 from .minhash import near_duplicates
 from .mixing import mix
@@ -21,6 +22,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "archives").path("pages")
+    warc.archive_pages(table(spark, sf_dir, "pages"), path)
+    return warc.archived_pages(spark, path)
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -30,6 +37,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "language", F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"))
 
 
+def op7_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = links.judge(table(spark, sf_dir, "pages"))
+    return judged.withColumns({c: F.round(c, 9) for c in ("trust", "distrust")})
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
@@ -46,8 +58,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_warc": op2_warc,
     "op4_minhash": op4_minhash,
     "op5_quality": op5_quality,
+    "op7_links": op7_links,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_secrets": op10_secrets,
@@ -57,6 +71,15 @@ QUERIES = {
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE = {
+    "op2_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS first,
+             array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform(range(4), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * i, 5))::BIGINT >> (15 - 5 * j)) & 31)::INT, 1)), '')), '') AS b32 FROM p)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, b32 AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM first THEN NULL ELSE first END AS refers_to
+FROM d""",
+    "op7_links": links.oracle_sql(),
     "op10_secrets": secrets.oracle_sql(),
     "op4_minhash": r"""
 WITH RECURSIVE words AS (
