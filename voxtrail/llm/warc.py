@@ -85,6 +85,13 @@ def parse_head(head: bytes) -> tuple[dict, int] | None:
     return {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}, end + 4
 
 
+def block_of(data: bytes, headers: dict, at: int) -> bytes:
+    block = data[at : at + int(headers["Content-Length"])]
+    if len(block) < int(headers["Content-Length"]):
+        raise ValueError("a record is cut off")
+    return block
+
+
 def members(stream, wanted):
     """(headers, block) of the wanted records of a .warc.gz stream; wanted(headers) is asked before the block is inflated."""
     data = b""
@@ -122,7 +129,7 @@ def members(stream, wanted):
             if wanted(parsed[0]):
                 if not fill(length):
                     raise ValueError("a record is cut off")
-                yield parsed[0], zlib.decompress(data[start : length - 8], -15)[parsed[1] :]
+                yield parsed[0], block_of(zlib.decompress(data[start : length - 8], -15), *parsed)
             if len(data) < length:
                 stream.seek(length - len(data), 1)
                 data = b""
@@ -138,7 +145,7 @@ def members(stream, wanted):
         whole = b"".join(parts)
         if parsed := parse_head(whole):
             if wanted(parsed[0]):
-                yield parsed[0], whole[parsed[1] :]
+                yield parsed[0], block_of(whole, *parsed)
 
 
 def plain_records(stream, wanted):
