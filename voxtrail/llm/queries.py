@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from . import links, secrets, warc
 from .common import Scratch
 from .decontaminate import leaks
+from .html import extract
+from .lines import dedup_lines
 from .minhash import near_duplicates
 from .mixing import mix
 from .quality import quality_scores
@@ -28,6 +30,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(spark, path)
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -37,6 +43,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "language", F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"))
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op7_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = links.judge(table(spark, sf_dir, "pages"))
     return judged.withColumns({c: F.round(c, 9) for c in ("trust", "distrust")})
@@ -59,8 +69,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_warc": op2_warc,
+    "op3_lines": op3_lines,
     "op4_minhash": op4_minhash,
     "op5_quality": op5_quality,
+    "op6_html": op6_html,
     "op7_links": op7_links,
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
