@@ -1,5 +1,11 @@
 """Every query of the engine by name, with the SQL it is held against."""
 
+from . import tracks
+
 FLAGSHIP = "visible_objects"
+MODULES = (tracks,)
 QUERIES: dict = {}
 ORACLE: dict = {}
+for _m in MODULES:
+    QUERIES |= _m.QUERIES
+    ORACLE |= _m.ORACLE
