@@ -19,7 +19,7 @@ _OBS = """SELECT user_id AS track_id, event_id, event_type AS name,
   CASE WHEN event_id % 6 = 0 THEN NULL ELSE ((event_id * 17 % 314) - 157) / 100.0e0 END AS yaw
 FROM (SELECT *, {us} AS us FROM {events}) e"""
 
-_BOX = """SELECT l_orderkey AS grp, CAST(l_linenumber AS BIGINT) AS id,
+_BOX = """SELECT l_orderkey AS grp, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS id,
   CAST(l_partkey % 40 AS DOUBLE) AS x0, CAST(l_suppkey % 40 AS DOUBLE) AS y0,
   CAST(l_partkey % 40 + 5 + (l_orderkey + l_linenumber * 3) % 20 AS DOUBLE) AS x1,
   CAST(l_suppkey % 40 + 5 + (l_orderkey * 3 + l_linenumber) % 20 AS DOUBLE) AS y1,

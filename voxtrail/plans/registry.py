@@ -1,9 +1,9 @@
 """Every query of the engine by name, with the SQL it is held against."""
 
-from . import tracks
+from . import boxes, joins, tracks
 
 FLAGSHIP = "visible_objects"
-MODULES = (tracks,)
+MODULES = (tracks, boxes, joins)
 QUERIES: dict = {}
 ORACLE: dict = {}
 for _m in MODULES:
