@@ -1,9 +1,9 @@
 """Every query of the engine by name, with the SQL it is held against."""
 
-from . import boxes, joins, tracks
+from . import boxes, joins, metrics, tracks
 
 FLAGSHIP = "visible_objects"
-MODULES = (tracks, boxes, joins)
+MODULES = (tracks, boxes, joins, metrics)
 QUERIES: dict = {}
 ORACLE: dict = {}
 for _m in MODULES:
