@@ -2,6 +2,8 @@
 
 Reading: a partition is a file. The record type and header columns that a filter names are checked as soon as a record's headers are parsed; of a gzip member only the first bytes are inflated for that, and where the writer has left the member's length in its header (the skip-length field of the WARC annex) the rest of an unwanted record is passed over unread. Other members are inflated to their end. Writing: a task writes files of its own, of up to FILE_BYTES each; the driver commits by one list of the files that count, so files of lost attempts are never read.
 
+Spark keeps the planned reader of a loaded DataFrame, pushed filters included, so each differently filtered scan loads the archives anew: call read_warc() for it.
+
 Defined results: a null html is an empty payload; a null page_id is smaller than any other; of repeated rows (equal page_id and payload) all are responses if one is; a null url leaves out the target header, and control characters in a url are percent-encoded; other columns are ignored.
 """
 
@@ -231,6 +233,8 @@ class WarcReader(DataSourceReader):
         return (*got, size, list(headers.items()), payload if self.payload else None)
 
     def read(self, partition):
+        if partition is None:  # a folder without archives
+            return
         system, path = _open(partition.path)
         with system.open_input_file(path) as stream:
             rows = []
