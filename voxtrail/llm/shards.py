@@ -23,6 +23,8 @@ BASE_BYTES = 1 << 20
 FAN_IN = 4
 #: Rows of an arriving shard at most.
 ARRIVAL_ROWS = 4096
+#: Shards whose names (about 100 bytes each) are broadcast.
+MOST_BROADCAST = 100_000
 
 
 class ManifestConflict(RuntimeError):
@@ -149,7 +151,9 @@ class ShardStore:
             shard += "_"
         if not shards:
             return df.withColumn(shard, F.lit(None).cast("int"))
+        # one short row for each shard of the manifest that the driver has just read; past MOST_BROADCAST of them Spark joins as it sees fit
         numbers = self.spark.createDataFrame([(s.path.rpartition("/")[2], i) for i, s in enumerate(shards)], "__file string, __number int")
+        numbers = F.broadcast(numbers) if len(shards) <= MOST_BROADCAST else numbers
         named = df.withColumn("__name", F.col("_metadata.file_name"))
         return named.join(numbers, named["__name"] == numbers["__file"]).select(*[named[f"`{c}`"] for c in df.columns], F.col("__number").alias(shard))
 
