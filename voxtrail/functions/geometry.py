@@ -25,17 +25,22 @@ def norm(a: Column, n: int = 3) -> Column:
     return F.sqrt(dot(a, a, n))
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value bound once: nested products would otherwise repeat their factors' whole expressions."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def apply3(m: Column, v: Column) -> Column:
     """3x3 matrix times vector."""
-    return F.array(*[at(m, 3 * r) * at(v, 0) + at(m, 3 * r + 1) * at(v, 1) + at(m, 3 * r + 2) * at(v, 2) for r in range(3)])
+    return let(F.struct(m.alias("m"), v.alias("v")), lambda x: F.array(*[at(x["m"], 3 * r) * at(x["v"], 0) + at(x["m"], 3 * r + 1) * at(x["v"], 1) + at(x["m"], 3 * r + 2) * at(x["v"], 2) for r in range(3)]))
 
 
 def matmul3(a: Column, b: Column) -> Column:
-    return F.array(*[at(a, 3 * r) * at(b, c) + at(a, 3 * r + 1) * at(b, 3 + c) + at(a, 3 * r + 2) * at(b, 6 + c) for r in range(3) for c in range(3)])
+    return let(F.struct(a.alias("a"), b.alias("b")), lambda x: F.array(*[at(x["a"], 3 * r) * at(x["b"], c) + at(x["a"], 3 * r + 1) * at(x["b"], 3 + c) + at(x["a"], 3 * r + 2) * at(x["b"], 6 + c) for r in range(3) for c in range(3)]))
 
 
 def transpose3(m: Column) -> Column:
-    return F.array(*[at(m, 3 * c + r) for r in range(3) for c in range(3)])
+    return let(m, lambda x: F.array(*[at(x, 3 * c + r) for r in range(3) for c in range(3)]))
 
 
 def backproject(u: Column, v: Column, depth: Column, fx, fy, cx, cy) -> Column:
@@ -50,19 +55,16 @@ def project(p: Column, fx, fy, cx, cy) -> tuple[Column, Column]:
 
 
 def rigid(r: Column, t: Column, p: Column) -> Column:
-    q = apply3(r, p)
-    return F.array(*[at(q, i) + at(t, i) for i in range(3)])
+    return F.zip_with(apply3(r, p), t, lambda a, b: a + b)
 
 
 def rigid_inverse(r: Column, t: Column) -> tuple[Column, Column]:
     back = transpose3(r)
-    moved = apply3(back, t)
-    return back, F.array(*[-at(moved, i) for i in range(3)])
+    return back, F.transform(apply3(back, t), lambda a: -a)
 
 
 def sim3_apply(s: Column, r: Column, t: Column, p: Column) -> Column:
-    q = apply3(r, p)
-    return F.array(*[s * at(q, i) + at(t, i) for i in range(3)])
+    return F.zip_with(apply3(r, p), t, lambda a, b: s * a + b)
 
 
 def sim3_compose(a: tuple, b: tuple) -> tuple:
@@ -75,8 +77,7 @@ def sim3_relative(a: tuple, b: tuple) -> tuple:
     """What takes b's frame to a's: a after the inverse of b."""
     s, r, t = b
     back = transpose3(r)
-    moved = apply3(back, t)
-    inverse = (1 / s, back, F.array(*[-at(moved, i) / s for i in range(3)]))
+    inverse = (1 / s, back, F.transform(apply3(back, t), lambda v: -v / s))
     return sim3_compose(a, inverse)
 
 

@@ -1,9 +1,9 @@
 """Every query of the engine by name, with the SQL it is held against."""
 
-from . import boxes, joins, metrics, tracks
+from . import boxes, filters, joins, metrics, tracks
 
 FLAGSHIP = "visible_objects"
-MODULES = (tracks, boxes, joins, metrics)
+MODULES = (tracks, boxes, joins, metrics, filters)
 QUERIES: dict = {}
 ORACLE: dict = {}
 for _m in MODULES:
