@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame) -> DataFrame:
     """checkpoint() in the folder that spark.checkpoint.dir names; our own where it is unset."""
     spark: SparkSession = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
@@ -19,13 +19,13 @@ def _checkpoint(df: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """(id, label): the least id reachable over edges (a, b); ids of nodes without edges keep their own."""
-    both = _checkpoint(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
+    both = checkpointed(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
     labels = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("near")).select("id", F.least("id", "near").alias("label"))
     while True:
         near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
-        new = _checkpoint(labels.join(near, labels["id"] == near["a"]).select("id", F.least("label", "near").alias("label"), F.col("label").alias("old")))
+        new = checkpointed(labels.join(near, labels["id"] == near["a"]).select("id", F.least("label", "near").alias("label"), F.col("label").alias("old")))
         jump = new.select(F.col("id").alias("at"), F.col("label").alias("next"))
-        labels = _checkpoint(new.join(jump, new["label"] == jump["at"], "left").select("id", F.least("label", F.coalesce("next", "label")).alias("label"), "old"))
+        labels = checkpointed(new.join(jump, new["label"] == jump["at"], "left").select("id", F.least("label", F.coalesce("next", "label")).alias("label"), "old"))
         if labels.where("label <> old").isEmpty():
             break
         labels = labels.drop("old")

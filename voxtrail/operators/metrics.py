@@ -1,6 +1,6 @@
 """Quality metrics of detection and tracking: partial rows per sequence and threshold, merged by sums and weighted means.
 
-A sequence's matching needs its frames together, so a row holds one sequence's overlaps; everything after is sums over (sequence, class, threshold) rows."""
+Matching takes one frame or image at a time; what a sequence adds, the alignment of its tracks and its counts, are sums and joins."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import boxes as B
+from .graph import checkpointed
 from .matching import assign, box_array, iou_matrix, paired, per_group
 
 # Thresholds of the metrics.
@@ -18,52 +20,60 @@ IOUS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
 EPS = 2.220446049250313e-16
 
 
-def sequences(gt: DataFrame, pred: DataFrame, keys=("video",), frame: str = "grp") -> DataFrame:
-    """One row for each sequence: its frames, each with the boxes of both sides in order."""
-    frames = paired(gt, pred, [*keys, frame])
-    return frames.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(frame, "gt", "pred"))).alias("frames"))
+def track_pairs(gt: DataFrame, pred: DataFrame, keys=("video",), frame: str = "grp", kept=()) -> DataFrame:
+    """(keys, frame, gt_id, pred_id, s, kept): the boxes of a frame with their IoU; kept names further columns of gt."""
+    at = [*keys, frame]
+    side = lambda df, k, more=(): df.select(*at, F.col("id").alias(f"{k}_id"), *[F.col(c).alias(f"{k}_{c}") for c in ("x0", "y0", "x1", "y1")], *more)
+    both = side(gt, "gt", kept).join(side(pred, "pred"), at)
+    return both.select(*at, "gt_id", "pred_id", *kept, B.iou(B.box(prefix="gt_"), B.box(prefix="pred_")).alias("s"))
 
 
-def hota_partial(gt: DataFrame, pred: DataFrame, keys=("video",), frame: str = "grp") -> DataFrame:
-    """(keys, alpha, tp, fn, fp, ass_a, ass_re, ass_pr, loc_a): association scores are weighted means over true positives, loc_a the mean similarity of matches (1 without any)."""
-
-    def run(row):
-        data, gts, prs = [], {}, {}
-        for f in row["frames"]:
-            g, p = f["gt"] or [], f["pred"] or []
-            gi, pi = [gts.setdefault(x["id"], len(gts)) for x in g], [prs.setdefault(x["id"], len(prs)) for x in p]
-            data.append((np.array(gi, int), np.array(pi, int), iou_matrix(box_array(g), box_array(p))))
-        ng, np_ = sum(len(g) for g, _, _ in data), sum(len(p) for _, p, _ in data)
-        if not ng or not np_:
-            return [(a, 0.0, float(ng), float(np_), 0.0, 0.0, 0.0, 1.0) for a in ALPHAS]
-        potential, cg, cp = np.zeros((len(gts), len(prs))), np.zeros(len(gts)), np.zeros(len(prs))
-        for g, p, s in data:
-            cg[g] += 1
-            cp[p] += 1
-            if s.size:
-                whole = s.sum(0)[None] + s.sum(1)[:, None] - s
-                potential[g[:, None], p[None]] += np.where(whole > EPS, s / np.where(whole > EPS, whole, 1), 0)
-        alignment = potential / (cg[:, None] + cp[None] - potential)
-        tp, loc = np.zeros(len(ALPHAS)), np.zeros(len(ALPHAS))
-        matched = np.zeros((len(ALPHAS), len(gts), len(prs)))
-        for g, p, s in data:
-            if not s.size:
-                continue
-            r, c = assign(-(alignment[g[:, None], p[None]] * s))
-            for k, a in enumerate(ALPHAS):
-                ok = s[r, c] >= a - EPS
-                tp[k] += ok.sum()
-                loc[k] += s[r, c][ok].sum()
-                np.add.at(matched[k], (g[r[ok]], p[c[ok]]), 1)
-        out = []
-        for k, a in enumerate(ALPHAS):
-            m, n = matched[k], max(1.0, tp[k])
-            ass = m / np.maximum(1, cg[:, None] + cp[None] - m)
-            out.append((a, tp[k], ng - tp[k], np_ - tp[k], (m * ass).sum() / n, (m * (m / np.maximum(1, cg[:, None]))).sum() / n, (m * (m / np.maximum(1, cp[None]))).sum() / n, max(1e-10, loc[k]) / max(1e-10, tp[k])))
-        return [tuple(map(float, x)) for x in out]
+def track_sizes(df: DataFrame, keys, name: str) -> DataFrame:
+    return df.groupBy(*keys, F.col("id").alias(f"{name}_id")).agg(F.count("*").cast("double").alias(f"n_{name}"))
+
+
+def aligned_matches(pairs: DataFrame, n_gt: DataFrame, n_pred: DataFrame, keys=("video",), frame: str = "grp") -> DataFrame:
+    """(keys, frame, gt_id, pred_id, s): in each frame the assignment of the largest total of IoU times the alignment of the two tracks over their sequence.
+
+    Sums by pair of tracks give the alignment, and Python sees one frame at a time, so neither a sequence nor a track has to fit in a task."""
+    at, ends = [*keys, frame], [*keys, "gt_id", "pred_id"]
+    whole = F.sum("s").over(W.partitionBy(*at, "gt_id")) + F.sum("s").over(W.partitionBy(*at, "pred_id")) - F.col("s")
+    parts = pairs.withColumn("__w", whole).withColumn("__w", F.when(F.col("__w") > EPS, F.col("s") / F.col("__w")).otherwise(0.0))
+    tracks = parts.groupBy(*ends).agg(F.sum("__w").alias("__p")).join(n_gt, [*keys, "gt_id"]).join(n_pred, [*keys, "pred_id"])
+    tracks = tracks.select(*ends, (F.col("__p") / (F.col("n_gt") + F.col("n_pred") - F.col("__p"))).alias("__a"))
+    frames = pairs.join(tracks, ends).groupBy(*at).agg(F.array_sort(F.collect_list(F.struct("gt_id", "pred_id", "s", "__a"))).alias("pairs"))
+
+    def run(r):
+        g, p = ({x: i for i, x in enumerate(sorted({x[k] for x in r["pairs"]}))} for k in ("gt_id", "pred_id"))
+        s, cost = np.full((len(g), len(p)), -1.0), np.zeros((len(g), len(p)))
+        for x in r["pairs"]:
+            i, j = g[x["gt_id"]], p[x["pred_id"]]
+            s[i, j], cost[i, j] = x["s"], -x["s"] * x["__a"]
+        g, p = list(g), list(p)
+        return [(g[i], p[j], float(s[i, j])) for i, j in zip(*assign(cost)) if s[i, j] >= 0]
 
-    names = ("alpha", "tp", "fn", "fp", "ass_a", "ass_re", "ass_pr", "loc_a")
-    return per_group(sequences(gt, pred, keys, frame), list(keys), run, pa.schema([(n, pa.float64()) for n in names]))
+    return per_group(frames, at, run, pa.schema([("gt_id", pa.int64()), ("pred_id", pa.int64()), ("s", pa.float64())]))
+
+
+def association_sums(found: DataFrame, n_gt: DataFrame, n_pred: DataFrame, alphas, keys=("video",)) -> DataFrame:
+    """(keys, alpha, tp, loc, ass_a, ass_re, ass_pr), all sums over the matches whose IoU reaches alpha; a match weighs by its pair's share of the two tracks."""
+    reached = F.filter(F.array(*map(F.lit, alphas)), lambda a: F.col("s") >= a - EPS)
+    pairs = found.withColumn("alpha", F.explode(reached)).groupBy(*keys, "alpha", "gt_id", "pred_id").agg(F.count("*").cast("double").alias("m"), F.sum("s").alias("loc"))
+    m, g, p = F.col("m"), F.col("n_gt"), F.col("n_pred")
+    sized = pairs.join(n_gt, [*keys, "gt_id"]).join(n_pred, [*keys, "pred_id"])
+    return sized.groupBy(*keys, "alpha").agg(F.sum("m").alias("tp"), F.sum("loc").alias("loc"), F.sum(m * m / (g + p - m)).alias("ass_a"), F.sum(m * m / g).alias("ass_re"), F.sum(m * m / p).alias("ass_pr"))
+
+
+def hota_partial(gt: DataFrame, pred: DataFrame, keys=("video",), frame: str = "grp") -> DataFrame:
+    """(keys, alpha, tp, fn, fp, ass_a, ass_re, ass_pr, loc_a): association scores are weighted means over true positives, loc_a the mean similarity of matches (1 without any). A sequence that one side lacks has no true positives."""
+    n_gt, n_pred = track_sizes(gt, keys, "gt"), track_sizes(pred, keys, "pred")
+    found = aligned_matches(track_pairs(gt, pred, keys, frame).where("s > 0"), n_gt, n_pred, keys, frame)
+    total = lambda n, c: n.groupBy(*keys).agg(F.sum(c).alias(c))
+    base = total(n_gt, "n_gt").join(total(n_pred, "n_pred"), list(keys), "full").na.fill(0.0, ["n_gt", "n_pred"]).withColumn("alpha", F.explode(F.array(*map(F.lit, ALPHAS))))
+    out = base.join(association_sums(found, n_gt, n_pred, ALPHAS, keys), [*keys, "alpha"], "left").na.fill(0.0, ["tp", "loc", "ass_a", "ass_re", "ass_pr"])
+    tp, least = F.col("tp"), lambda c: F.greatest(F.lit(1e-10), c)
+    share = lambda c: (F.col(c) / F.greatest(F.lit(1.0), tp)).alias(c)
+    return out.select(*keys, "alpha", "tp", (F.col("n_gt") - tp).alias("fn"), (F.col("n_pred") - tp).alias("fp"), share("ass_a"), share("ass_re"), share("ass_pr"), (least(F.col("loc")) / least(tp)).alias("loc_a"))
 
 
 def hota_combine(partial: DataFrame, keys=()) -> DataFrame:
@@ -135,7 +145,7 @@ def best_scoring(scorings: DataFrame, keys=("grp",), which: str = "annotator") -
 def average_precision(gt: DataFrame, pred: DataFrame, keys=("grp",), cat: str = "cat", thresholds=(0.5, 0.75)) -> DataFrame:
     """(cat, iou, ap): each prediction, by falling score within its image and class, takes the free box of the largest IoU; precision is interpolated at 101 recalls.
 
-    The ranking of a class' predictions is a running sum over score ranges, so no class meets in one task: a range's counts are summed first and added to the places inside."""
+    The ranking is a range sort by class, threshold and falling score, cut by a checkpoint. A partition's counts are summed and added to the places inside it, so no class and no score shared by many predictions meets in one task."""
 
     def run(r):
         g, p = r["gt"] or [], sorted(r["pred"] or [], key=lambda x: (-x["score"], x["id"]))
@@ -153,11 +163,12 @@ def average_precision(gt: DataFrame, pred: DataFrame, keys=("grp",), cat: str =
 
     each = per_group(paired(gt, pred, [*keys, cat]), [*keys, cat], run, pa.schema([("iou", pa.float64()), ("id", pa.int64()), ("score", pa.float64()), ("hit", pa.int64())]))
     n = gt.groupBy(cat).agg(F.count("*").alias("n_gt"))
-    ranged = each.withColumn("__r", F.floor(F.col("score") * 64))
+    order = [F.desc("score"), *keys, "id"]
+    ranged = checkpointed(each.repartitionByRange(cat, "iou", *order).withColumn("__r", F.spark_partition_id()))
     sums = ranged.groupBy(cat, "iou", "__r").agg(F.sum("hit").alias("__h"), F.count("*").alias("__n"))
-    before = W.partitionBy(cat, "iou").orderBy(F.desc("__r")).rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(cat, "iou").orderBy("__r").rowsBetween(W.unboundedPreceding, -1)
     starts = sums.select(cat, "iou", "__r", F.coalesce(F.sum("__h").over(before), F.lit(0)).alias("__h0"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n0"))
-    inside = W.partitionBy(cat, "iou", "__r").orderBy(F.desc("score"), *keys, "id").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(cat, "iou", "__r").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     curve = ranged.join(starts, [cat, "iou", "__r"]).withColumn("tp", F.col("__h0") + F.sum("hit").over(inside)).withColumn("seen", F.col("__n0") + F.count("*").over(inside)).where("hit = 1")
     curve = curve.join(F.broadcast(n), cat).select(cat, "iou", (F.col("tp") / F.col("n_gt")).alias("recall"), (F.col("tp") / F.col("seen")).alias("precision"))
     # the best precision at or beyond each of 101 recalls: one row for each step is enough
@@ -172,8 +183,6 @@ def tracklet_iou(gt: DataFrame, pred: DataFrame) -> DataFrame:
     """(video, gt_id, pred_id, iou): sums over all frames of either of intersections and unions; a frame with one side adds its area to the union."""
     area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
     totals = lambda df, k: df.groupBy("video", F.col("id").alias(k)).agg(F.sum(area).alias(f"{k}_area"))
-    from ..functions import boxes as B
-
     g, p = gt.alias("g"), pred.alias("p")
     inter = g.join(p, (F.col("g.video") == F.col("p.video")) & (F.col("g.grp") == F.col("p.grp"))).groupBy(F.col("g.video").alias("video"), F.col("g.id").alias("gt_id"), F.col("p.id").alias("pred_id")).agg(F.sum(B.intersection(B.box(prefix="g."), B.box(prefix="p."))).alias("inter"))
     both = inter.join(totals(gt, "gt_id"), ["video", "gt_id"]).join(totals(pred, "pred_id"), ["video", "pred_id"])
