@@ -6,7 +6,7 @@ from ..adapters import CTES, observations, points, predictions, table, truth
 from ..functions import geometry as G
 from ..functions import text as T
 from ..functions import vectors as V
-from ..operators import aggregates, alignment, metrics
+from ..operators import aggregates, alignment, metrics, teta
 
 OBS = lambda f: lambda spark, sf_dir: f(observations(spark, sf_dir))
 PTS = lambda f: lambda spark, sf_dir: f(points(spark, sf_dir))
@@ -29,6 +29,12 @@ def _scales(p):
     return p.groupBy("obj").agg(aggregates.least_squares_scale(F.col("x"), F.col("z")).alias("scale"))
 
 
+def _chunks(p):
+    """Depths of two overlapping chunks of scale 1.5 with a little noise; one pair in nine is far off."""
+    off = F.when(F.col("pid") % 9 == 0, 20.0).otherwise((F.col("pid") % 7 - 3) / 100)
+    return p.select("obj", "pid", (F.col("z") * 1.5 + off).alias("a"), F.col("z").alias("b"), F.col("conf").alias("conf_a"), F.col("conf").alias("conf_b"))
+
+
 def _poses(p):
     """Rotation and translation errors between two poses of each point."""
     a, b = G.yaw_matrix(F.col("y") / 7), G.yaw_matrix(F.col("conf"))
@@ -91,6 +97,9 @@ QUERIES = {
     "reconstruction": PTS(lambda p: rounded(metrics.reconstruction(p.where("obj <= 5 and pid % 3 <> 0"), p.where("obj <= 5 and pid % 3 = 0"), 1.0, 3.0, keys=("obj",)), ("obj",))),
     "similarity_fit": PTS(lambda p: alignment.guarded(alignment.similarity(_matched(p), weight="conf")).select("obj", "n", F.round("s", 4).alias("s"), *[F.round(F.element_at("t", i), 2).alias(f"t{i}") for i in (1, 2, 3)])),
     "robust_similarity": PTS(lambda p: rounded(alignment.alignment_error(_matched(p), alignment.robust_similarity(_matched(p))), ("obj",))),
+    "consensus_scale": PTS(lambda p: rounded(alignment.consensus_scale(_chunks(p)), ("obj",), 6)),
+    "teta": TWO(lambda g, p: rounded(teta.teta_combine(teta.teta_partial(g, p)), ("cat", "alpha"))),
+    "teta_by_class": TWO(lambda g, p: rounded(teta.teta_by_class(teta.teta_combine(teta.teta_partial(g, p, exhaustive=True))), ("alpha",))),
     "kalman_smooth": OBS(lambda o: rounded(alignment.kalman_smooth(o), ("track_id", "frame_idx"))),
     "back_projection": PTS(_backproject),
     "box_corners": PTS(_corners),
@@ -135,6 +144,11 @@ SELECT i.video, gt_id, pred_id, round(i / (ga.a + pa.a - i), 4) AS iou FROM i JO
 m AS (SELECT obj, avg(least(d, 3)) FILTER (WHERE is_pred) AS acc, avg(CAST(d < 1 AS DOUBLE)) FILTER (WHERE is_pred) AS pr, avg(least(d, 3)) FILTER (WHERE NOT is_pred) AS comp, avg(CAST(d < 1 AS DOUBLE)) FILTER (WHERE NOT is_pred) AS re FROM d GROUP BY obj)
 SELECT obj, round(acc, 4) AS acc, round(pr, 4) AS precision, round(comp, 4) AS comp, round(re, 4) AS recall, round((acc + comp) / 2, 4) AS overall, round(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0 END, 4) AS fscore FROM m""",
     "similarity_fit": f"{_Q} SELECT obj, count(*) AS n, CAST(2 AS DOUBLE) AS s, CAST(1 AS DOUBLE) AS t1, CAST(-3 AS DOUBLE) AS t2, CAST(0.5 AS DOUBLE) AS t3 FROM pts GROUP BY obj",
+    "consensus_scale": f"""{_Q}, q AS (SELECT obj, pid, z * 1.5e0 + CASE WHEN pid % 9 = 0 THEN 20 ELSE (pid % 7 - 3) / 100 END AS a, z AS b, conf FROM pts), f AS (SELECT obj, greatest(median(conf) * 0.1e0, 1e-6) AS f FROM q GROUP BY obj),
+g AS (SELECT q.*, count(*) OVER (PARTITION BY obj) AS n FROM q JOIN f USING (obj) WHERE conf > f AND a > 1e-3 AND a < 100 AND b > 1e-3 AND b < 100), t AS (SELECT obj, pid % least(100, n // 10) AS k, sum(a * b) / sum(b * b) AS s FROM g WHERE n >= 100 GROUP BY ALL),
+v AS (SELECT obj, k, s, count(*) FILTER (WHERE abs(a - s * b) <= 0.1e0) AS v FROM g JOIN t USING (obj) GROUP BY ALL), w AS (SELECT obj, arg_max(s, (v, -k)) AS s FROM v GROUP BY obj),
+l AS (SELECT obj, sum(a * b) / sum(b * b) AS s, count(*) AS v FROM g JOIN w USING (obj) WHERE abs(a - s * b) <= 0.1e0 GROUP BY obj), m AS (SELECT obj, count(*) AS n FROM g GROUP BY obj)
+SELECT o.obj, coalesce(n, 0) AS n, round(CASE WHEN s > 0.1e0 AND s < 10 THEN s ELSE 1 END, 6) AS scale, round(coalesce(v / n, 0), 6) AS inliers FROM (SELECT DISTINCT obj FROM pts) o LEFT JOIN m USING (obj) LEFT JOIN l USING (obj)""",
     "back_projection": f"{_Q} SELECT obj, pid, round((x * 10 - 160) / 300 * z, 4) AS a, round((y * 10 - 120) / 310 * z, 4) AS b, round(z, 4) AS c, round(x * 10, 4) AS u, round(y * 10, 4) AS v, round(z * 450 / 300, 4) AS metric FROM pts",
     "direction_words": f"""{_Q}, d AS (SELECT obj, pid, x - 25 AS dx, y - 7 AS dy, z - 7 AS dz FROM pts), n AS (SELECT *, sqrt(dx * dx + dy * dy + dz * dz) AS n FROM d),
 w AS (SELECT *, list_sort([{{'s': -abs(dz / n), 'o': 0, 'w': CASE WHEN dz > 0 THEN 'away' ELSE 'toward' END}}, {{'s': -abs(dx / n), 'o': 1, 'w': CASE WHEN dx > 0 THEN 'right' ELSE 'left' END}}, {{'s': -abs(dy / n), 'o': 2, 'w': CASE WHEN dy > 0 THEN 'down' ELSE 'up' END}}]) AS l FROM n)
