@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .graph import checkpointed
 from .metrics import EPS, aligned_matches, association_sums, track_pairs, track_sizes
 
 # Thresholds of the metric, the least one of classification and the overlap that makes a candidate.
@@ -39,10 +40,11 @@ def teta_partial(gt: DataFrame, pred: DataFrame, keys=("video",), frame: str = "
     gt = gt.select(*at, "id", "x0", "y0", "x1", "y1", F.col(cat).alias("gt_cat"))
     pairs = track_pairs(gt, pred, keys, frame, kept=("gt_cat",))
     n_pred = track_sizes(pred, keys, "pred")
-    over = candidates(pairs, gt, track_sizes(gt, keys, "gt"), n_pred, keys, frame)
+    # several sums read the candidates and the matches, so both are cut from their plans once
+    over = checkpointed(candidates(pairs, gt, track_sizes(gt, keys, "gt"), n_pred, keys, frame))
     tracks = over.select(*by, "pred_id").distinct()
     sizes = track_sizes(gt, by, "gt"), tracks.join(n_pred, [*keys, "pred_id"])
-    found = aligned_matches(pairs.join(tracks, [*by, "pred_id"], "left_semi"), *sizes, by, frame)
+    found = checkpointed(aligned_matches(pairs.join(tracks, [*by, "pred_id"], "left_semi"), *sizes, by, frame))
     shares = association_sums(found, *sizes, ALPHAS, by)
     judged = found.join(pred.select(*at, F.col("id").alias("pred_id"), F.col(cat).alias("pred_cat")), [*at, "pred_id"]).join(over.withColumn("over", F.lit(1)), [*by, frame, "pred_id"], "left")
     reached = F.filter(F.array(*map(F.lit, ALPHAS)), lambda a: F.col("s") >= a - EPS)
