@@ -121,6 +121,22 @@ def test_repeated_rows_leave_one(spark):
     assert minhash.drop_near_duplicates(df).count() == 6
 
 
+def test_near_dedup_stage_links_at_080(spark):
+    import corpus_pipeline
+
+    rows = []
+    for pair in range(12):
+        base = [f"p{pair}w{i}" for i in range(150)]
+        t = list(base)
+        for e in range((3, 3, 4)[pair % 3]):  # similarities of 131 / 161 = 0.81 and 126 / 166 = 0.76
+            t[20 + 30 * e] = f"x{e}"
+        rows += [(2 * pair, " ".join(base)), (2 * pair + 1, " ".join(t))]
+    want = sorted(i for i, _, root in brute_components(rows, 80) if i == root)
+    assert len(want) == 16 and len({root for _, _, root in brute_components(rows)}) == 24
+    df = docs(spark, rows)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == want == sorted(r.doc_id for r in minhash.drop_near_duplicates(df).collect())
+
+
 def test_sketch_fills_every_coordinate():
     for n in (1, 2, 3, 20, 1000):
         s = np.unique(np.random.default_rng(n).integers(0, 2**63, n).astype(np.uint64))
