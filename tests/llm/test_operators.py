@@ -394,6 +394,16 @@ def test_main_text(body):
     assert html.main_text(PAGE.format(body=body)) == "Title\nFirst & best, with words\nSecond half é\nNo."
 
 
+def test_main_text_of_several_regions():
+    long, short = [f"{i} " + "long line of words " * 6 for i in range(9)], "the end of it, in fewer words than before it"
+    ps = lambda xs: "".join(f"<p>{x}</p>" for x in xs)
+    text = "\n".join(" ".join(x.split()) for x in [*long, short])
+    for body in (f"<div><section>{ps(long)}</section><section>{ps([short])}</section></div>", f"<article>{ps(long)}</article><article>{ps([short])}</article>", f"<div><blockquote>{ps(long)}</blockquote>{ps([short])}</div>"):
+        assert html.main_text(f"<body><nav>x</nav>{body}</body>") == text
+    for tag in ("pre", "ul", "table"):
+        assert html.main_text(f"<body><div>{ps([short])}<{tag}>{long[0] * 9}</{tag}></div></body>").startswith(short)
+
+
 def test_html_edges(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>"), (4, "u", "plain text"), (None, "u", "<article><p>cut o"), (5, "u", "<![odd x]><p>text</p>"), (6, "u", "<p>" + "long word " * 50_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))

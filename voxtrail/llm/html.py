@@ -1,6 +1,6 @@
 """Main text of web pages: streaming parser events, text-to-tag ratios of lines, Gaussian smoothing and threshold clustering.
 
-The parser's events make lines: a line ends where a block begins or ends, and has its text and the number of its tags. The ratios of text to tags, smoothed over neighbouring lines, are split by two-means clustering into content and the rest. The content lines choose the region: the article or main element that holds most of their text, or without such elements the innermost element that holds nearly all of it. The text is every line of the region outside of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments, short lines too.
+The parser's events make lines: a line ends where a block begins or ends, and has its text and the number of its tags. The ratios of text to tags, smoothed over neighbouring lines, are split by two-means clustering into content and the rest. The content lines choose the region: all article and main elements if one of them holds content lines, else the innermost element, no part of a text itself, that holds all content lines. The text is every line of the region outside of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments, short lines too.
 
 Defined results: a null or empty html, or one without text, gives an empty text; a page cut off in the middle is read as far as it goes; unknown declarations are taken as text; null urls and ids, repeated rows and other columns pass by.
 """
@@ -23,8 +23,8 @@ ASIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising adbox s
 REGION = frozenset(("article", "main"))
 CLOSES = {"p": frozenset(("p",)), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p")), "tr": frozenset(("tr", "td", "th", "p")), "td": frozenset(("td", "th", "p")), "th": frozenset(("td", "th", "p")), "option": frozenset(("option",))}
 SIGMA = 1.0
-#: Share of the content's text that an element must hold to be the region.
-MOST = 0.8
+#: Elements that are a part of a text, so never the region of it.
+PARTS = frozenset("p li tr td th dt dd h1 h2 h3 h4 h5 h6 section pre table thead tbody tfoot caption ul ol dl blockquote figure figcaption details summary address center fieldset legend".split())
 _SPLIT = re.compile(r"[^a-z]+")
 
 
@@ -137,21 +137,15 @@ def main_text(html: str | None) -> str:
     level = smooth(ratio)
     content = level >= threshold(level)
     held: dict[int, int] = {}
-    size: dict[int, int] = {}
-    for (text, _, inside, apart), good in zip(page.lines, content):
+    for (_, _, inside, apart), good in zip(page.lines, content):
         if not apart:
             for n in inside:
-                held[n] = held.get(n, 0) + len(text) * bool(good)
-                size[n] = size.get(n, 0) + len(text)
-    regions = [n for n in size if page.kinds[n] in REGION]
-    if regions:
-        best = max(regions, key=lambda n: (held[n], size[n], -n))
-    else:
-        total = sum(len(t) for (t, _, _, apart), good in zip(page.lines, content) if good and not apart)
-        # the innermost element that is no line of its own
-        many = [n for n in size if page.kinds[n] not in ("p", "li", "tr", "dt", "dd", "h1", "h2", "h3", "h4", "h5", "h6") and held[n] >= MOST * total]
-        best = max(many, default=None)
-    return "\n".join(t for t, _, inside, _ in own if best is None or best in inside)
+                held[n] = held.get(n, 0) + bool(good)
+    region = {n for n in held if page.kinds[n] in REGION}
+    if not any(held[n] for n in region):
+        total = sum(bool(good) for (_, _, _, apart), good in zip(page.lines, content) if not apart)
+        region = {max((n for n in held if page.kinds[n] not in PARTS and held[n] == total > 0), default=None)} - {None}
+    return "\n".join(t for t, _, inside, _ in own if not region or not region.isdisjoint(inside))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
