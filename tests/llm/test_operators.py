@@ -415,6 +415,15 @@ def test_html_edges(spark):
 # urls
 
 
+def test_uncrawled_blocked_hosts_are_seeds(spark):
+    rows = [(1, "http://linker.org/", '<a href="http://www.Cheap-Pills.example.org/a">x</a>'), (2, "http://plain.org/", '<a href="http://other.org/">x</a>')]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in links.judge(df).collect()}
+    assert got[1].verdict == "block" and got[1].distrust == pytest.approx(0.85 * 0.15)
+    assert got[2].verdict == "allow" and got[2].distrust == 0
+    assert {r.page_id: r.verdict for r in links.judge(df, blocked=("other",)).collect()} == {1: "allow", 2: "block"}
+
+
 def test_rules_and_propagation(spark):
     page = lambda *to: "".join(f'<a href="{t}">x</a>' for t in to)
     rows = [(1, "http://WWW.Example.com/en/7?x", page("http://good.org/")), (2, "https://a.com/en/", None), (3, "http://good.org/fr", page("//fine.org/x")), (4, "http://fine.org/", ""), (5, "http://linker.org/", page("http://spam-farm.example.org/a", "http://spam-farm.example.org/b")), (6, "http://spam-farm.example.org/", ""), (7, None, None), (8, "nothing", None), (9, "http://x.net/de/8#f", None), (10, "http://example.net/de/8", None), (None, "http://notexample.com/en/7", None)]

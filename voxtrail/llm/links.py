@@ -22,7 +22,13 @@ ROUNDS = 8
 MOST_RULES = 1000
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
-SEED_HOST = r"^(?:(?:www|blog|m)\.)?(?:" + "|".join(BLOCKED_SEEDS) + r")\."
+
+
+def seed_host(blocked=BLOCKED_SEEDS) -> str:
+    return r"^(?:(?:www|blog|m)\.)?(?:" + "|".join(blocked) + r")\."
+
+
+SEED_HOST = seed_host()
 
 
 def matching_rules(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -71,16 +77,17 @@ def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch, damping: flo
     return scores.groupBy("host").agg(of("t").alias("trust"), of("d").alias("distrust"))
 
 
-def judge(pages: DataFrame, rules=RULES, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, host, path, rule, verdict, trust, distrust for every page. Trusted seeds are hosts of pages that a rule allows."""
+def judge(pages: DataFrame, rules=RULES, page_id: str = "page_id", url: str = "url", html: str = "html", blocked=BLOCKED_SEEDS) -> DataFrame:
+    """page_id, host, path, rule, verdict, trust, distrust for every page. Trusted seeds are hosts of pages that a rule allows; distrusted ones all hosts, of pages or only linked to, whose first label is in blocked."""
     scratch = Scratch(pages.sparkSession, "links")
     host, path = split_url(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = matching_rules(F.col("host"), F.col("path"), rules)
     rows = scratch.table(rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("said")), "rows")
     trusted = rows.where("said = 'allow'").select("host", F.lit("t").alias("kind"))
-    blocked = rows.where(F.col("host").rlike(SEED_HOST)).select("host", F.lit("d").alias("kind"))
-    scores = scratch.table(propagate(host_edges(pages, url, html), trusted.union(blocked), scratch), "scores")
+    edges = scratch.table(host_edges(pages, url, html), "links")
+    bad = rows.select("host").union(edges.select("target")).where(F.col("host").rlike(seed_host(blocked)) if blocked else F.lit(False)).select("host", F.lit("d").alias("kind"))
+    scores = scratch.table(propagate(edges, trusted.union(bad), scratch), "scores")
     joined = rows.alias("r").join(scores.alias("s"), F.col("r.host") == F.col("s.host"), "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     method = F.when(distrust > trust + 1e-12, "block").otherwise("allow")
