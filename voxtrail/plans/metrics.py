@@ -53,7 +53,7 @@ def _corners(p):
 
 
 def _names(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.clean_name(F.substring("text", 1, 60)).alias("name")).withColumn("bad", T.is_bad_name(F.col("name")))
+    return table(spark, sf_dir, "documents").select("doc_id", T.clean_name(F.col("text")).alias("name")).withColumn("bad", T.is_bad_name(F.col("name")))
 
 
 def _directions(p):
