@@ -49,7 +49,7 @@ def _backproject(p):
 
 def _corners(p):
     k = F.explode(G.box_corners(F.array("x", "y", "z"), F.array(F.lit(2.0), F.lit(1.0), F.col("conf")), F.col("conf"))).alias("k")
-    return p.where("obj <= 10").select("obj", "pid", k).groupBy("obj").agg(*[F.round(f(G.at(F.col("k"), i)), 3).alias(f"{n}{a}") for n, f in (("lo_", F.min), ("hi_", F.max)) for i, a in enumerate("xyz")])
+    return p.select("obj", "pid", k).groupBy("obj").agg(*[F.round(f(G.at(F.col("k"), i)), 3).alias(f"{n}{a}") for n, f in (("lo_", F.min), ("hi_", F.max)) for i, a in enumerate("xyz")])
 
 
 def _names(spark, sf_dir):
