@@ -1,10 +1,11 @@
-"""Helpers shared by the operators: the shared scratch folder, words, hashes."""
+"""Helpers shared by the operators: the shared scratch folder, words, unused names, joins with hot keys."""
 
 from __future__ import annotations
 
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,13 @@ SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir; where it is unset, a folder of the warehouse, or, if driver and executors are one process, a temporary one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="voxtrail-")
+        if spark.sparkContext.master.startswith("local"):
+            path = "file://" + tempfile.mkdtemp(prefix="voxtrail-")
+        else:
+            path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_voxtrail"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
@@ -72,3 +76,31 @@ def n_words(text: Column) -> Column:
 
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as make it differ from all columns, regardless of case."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+#: Rows of one key beyond which the key counts as hot, at least; and hot keys there can be at most.
+HOT_ROWS = 50_000
+MOST_HOT = 10_000
+
+
+def hot_join(rows: DataFrame, names: DataFrame, keys: list[str], total: int, count: str = "n") -> DataFrame:
+    """rows joined with names (one row for each of the keys, with the number of its rows), where single keys may hold a large part of all rows.
+
+    A key is hot if it has more than HOT_ROWS rows and more than one in MOST_HOT of all: there can't be more than MOST_HOT such keys, so their names are broadcast, and rows of hot keys aren't shuffled. What is left has at most that many rows in a key."""
+    limit = max(HOT_ROWS, total // MOST_HOT)
+    hot = names.where(F.col(count) > limit)
+    if hot.isEmpty():
+        return rows.join(names, keys)
+    hot = F.broadcast(hot)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(names.where(F.col(count) <= limit), keys))

@@ -1,19 +1,17 @@
 """Quality rules: base counts of a text, and the divergence of its character-class and common-word histograms from references of its language.
 
-One pass over the texts makes the counts and histograms, in Arrow batches. The references are means over all documents of a language that pass the base rules and the minimum length, so they come from whole-corpus sums of a few hundred numbers; histograms are whole parts per million, so that the sums don't depend on order. A second pass over the small table of histograms, not the texts, gives the verdicts.
+One pass over the texts makes the counts, the histograms and the verdict, in Arrow batches, row by row: the references are fixed, so a verdict depends on the document alone, not on the table it stands in. References and thresholds were measured on the 2,931 documents of the sf0.1 table that are labelled as good and pass the base rules and the minimum lengths: the references are the means of their histograms in parts per million, the thresholds lie above the largest distances of any of them (0.276 and 0.264; of the documents labelled as bad 93 % lie beyond one of the two).
 
-Defined results: a null or empty text has no words and fails the base rules; a document whose lang is null or unknown is held against the language whose common words it has most of; without a reference (fewer than MIN_REFERENCE documents) or below the minimum lengths the method has no objection; rows repeated in full get equal verdicts; columns other than id, text and lang are ignored by quality_scores() and kept by keep_good().
+Defined results: a null or empty text has no words and fails the base rules; a document whose lang is null or unknown is held against the language whose common words it has most of (of equal counts the first in COMMON_WORDS); below the minimum lengths the method has no objection; rows repeated in full get equal verdicts; an empty table gives an empty result; columns other than id, text and lang are ignored by quality_scores() and kept, whatever their names, by keep_good().
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
-
 # Common words of four languages.
 COMMON_WORDS = {
     "en": "the of and to in a is that it for was on are with as be by this at from or an have not".split(),
@@ -30,13 +28,31 @@ MAX_REPEAT_PERCENT = 50
 #: Minimum lengths for a comparison: code points for character classes, words for common words.
 MIN_CHARS = 300
 MIN_COMMON = 100
-#: Documents that a language needs for a reference.
-MIN_REFERENCE = 10
 #: Largest Jensen-Shannon distances (base 2, so 1 is the largest there is) of a kept document.
-MAX_CLASS_DISTANCE = 0.32
-MAX_WORD_DISTANCE = 0.33
+MAX_CLASS_DISTANCE = 0.28
+MAX_WORD_DISTANCE = 0.28
+# Mean histograms of good documents of each language, in parts per million: the classes in order,
+# and the common words in order with all other words last.
+REFERENCES = {
+    "en": (
+        [794246, 14202, 867, 166493, 0, 24119, 34, 38],
+        [55349, 28833, 23631, 17058, 11910, 13702, 10592, 8916, 8076, 7686, 6795, 6629, 4406, 5673, 5370, 4752, 4799, 4428, 4287, 3596, 2364, 3294, 0, 0, 757847],
+    ),
+    "de": (
+        [771922, 12512, 748, 154592, 0, 22076, 30, 38118],
+        [54207, 28669, 22957, 16624, 14328, 11696, 9896, 9515, 7745, 7572, 6525, 6545, 5811, 5100, 5155, 4605, 4604, 4612, 4644, 3503, 79, 3, 5, 0, 765593],
+    ),
+    "fr": (
+        [707369, 10696, 1363, 166461, 0, 24113, 56, 89939],
+        [55119, 29847, 22171, 16706, 13559, 12014, 11702, 9740, 8110, 6956, 6590, 5905, 6449, 5074, 5126, 47, 4352, 0, 4143, 4511, 4296, 0, 0, 3846, 763726],
+    ),
+    "es": (
+        [723515, 12564, 923, 161758, 0, 23597, 20, 77620],
+        [55584, 28329, 22706, 15862, 14276, 11343, 28, 10135, 8819, 7051, 9295, 6909, 7025, 5837, 4940, 5183, 4522, 4629, 4344, 4349, 3584, 0, 0, 0, 765240],
+    ),
+}
 
-SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, language string, n_points long, class_ppm array<int>, word_ppm array<int>"
+COUNTS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _KIND = np.full(256, 6)
 _KIND[0x80:0xC0] = 8
 _KIND[0xC0:] = 7
@@ -81,20 +97,6 @@ def measure(data: bytes | None, lang: str | None) -> tuple:
     return len(words), points - int(kinds[3]), int(kinds[4]), len(lines) - len(set(lines)), repeated_words(ids, len(number)), lang, points, ppm(kinds[:8], points), ppm(common, len(words))
 
 
-def _measured(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            got = [measure(t, g) for t, g in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-            cols = [b.column(0), *(pa.array([x[i] for x in got], kind) for i, kind in enumerate([pa.int64()] * 5 + [pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]))]
-            yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in SCHEMA.split(", ")])
-
-    return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("binary"), F.col(lang).cast("string")).mapInArrow(run, SCHEMA)
-
-
-def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-
-
 def js_distance(p, q) -> float:
     """Jensen-Shannon distance, base 2, of two histograms of counts."""
     p, q = np.asarray(p, float), np.asarray(q, float)
@@ -104,57 +106,80 @@ def js_distance(p, q) -> float:
     return float(np.sqrt(max(0.0, (term(p) + term(q)) / 2)))
 
 
-def references(measured: DataFrame) -> dict:
-    """For each language the sums of the histograms of its documents that pass the base rules and the minimum lengths."""
-    n = len(next(iter(COMMON_WORDS.values()))) + 1
-    sums = lambda c, n: F.array(*[F.sum(F.element_at(c, i + 1).cast("long")) for i in range(n)])
-    good = measured.where(~base_failed() & (F.col("n_points") >= MIN_CHARS) & (F.col("n_words") >= MIN_COMMON))
-    found = good.groupBy("language").agg(sums("class_ppm", len(CLASSES)).alias("kinds"), sums("word_ppm", n).alias("common"), F.count("*").alias("n"))
-    # a row for each of the languages of COMMON_WORDS at most
-    return {r["language"]: (r["kinds"], r["common"]) for r in found.where(F.col("n") >= MIN_REFERENCE).collect()}
+def judge(data: bytes | None, lang: str | None, refs: dict = REFERENCES) -> tuple:
+    """The five base counts, the language, base_failed, both distances (None: too short to compare) and kept."""
+    *counts, language, points, kinds, common = measure(data, lang)
+    n_words, n_repeat = counts[0], counts[4]
+    failed = n_words < MIN_WORDS or 100 * n_repeat > MAX_REPEAT_PERCENT * n_words
+    by_class = js_distance(kinds, refs[language][0]) if points >= MIN_CHARS else None
+    by_word = js_distance(common, refs[language][1]) if n_words >= MIN_COMMON else None
+    kept = not failed and (by_class or 0) <= MAX_CLASS_DISTANCE and (by_word or 0) <= MAX_WORD_DISTANCE
+    return (*counts, language, failed, by_class, by_word, kept)
 
 
-def distances(language: str, n_words: int, points: int, kinds: list, common: list, refs: dict) -> tuple[float | None, float | None]:
-    """Distances of the character classes and the common words; None: too short, or no reference."""
-    if language not in refs:
-        return None, None
-    return js_distance(kinds, refs[language][0]) if points >= MIN_CHARS else None, js_distance(common, refs[language][1]) if n_words >= MIN_COMMON else None
-
-
-def diverges(class_distance: float | None, word_distance: float | None) -> bool:
-    return (class_distance or 0) > MAX_CLASS_DISTANCE or (word_distance or 0) > MAX_WORD_DISTANCE
-
-
-def quality_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+def quality_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", refs: dict = REFERENCES) -> DataFrame:
     """doc_id, the base counts, language, base_failed, class_distance, word_distance (null: not compared) and kept, for every row."""
-    measured = Scratch(docs.sparkSession, "quality").table(_measured(docs, doc_id, text, lang), "measured")
-    refs = references(measured)
-    own = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "language", "base_failed"]
+    kinds = [*[pa.int64()] * 5, pa.string(), pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
+    names = [*COUNTS, "language", "base_failed", "class_distance", "word_distance", "kept"]
 
     def run(batches):
         for b in batches:
-            got = [distances(*x, refs) for x in zip(*(b.column(k).to_pylist() for k in ("language", "n_words", "n_points", "class_ppm", "word_ppm")))]
-            kept = [not failed and not diverges(*x) for failed, x in zip(b.column("base_failed").to_pylist(), got)]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in own), pa.array([x[0] for x in got], pa.float64()), pa.array([x[1] for x in got], pa.float64()), pa.array(kept, pa.bool_())], names=[*own, "class_distance", "word_distance", "kept"])
-
-    counts = ", ".join(f"{k} long" for k in own[:6])
-    return measured.withColumn("base_failed", base_failed()).mapInArrow(run, f"{counts}, language string, base_failed boolean, class_distance double, word_distance double, kept boolean")
+            got = [judge(t, g, refs) for t, g in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            cols = [pa.array([x[i] for x in got], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=names)
 
+    rows = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("binary"), F.col(lang).cast("string"))
+    schema = ", ".join(f"{k} long" for k in COUNTS)
+    return rows.mapInArrow(run, f"{schema}, language string, base_failed boolean, class_distance double, word_distance double, kept boolean")
 
-def keep_good(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of docs that the rules keep, as they are.
-
-    The references come from a first pass over docs; the second judges each row where it stands, so no text is shuffled."""
-    refs = references(_measured(docs, doc_id, text, lang))
-
-    def good(data, language) -> bool:
-        n, _, _, _, repeat, language, points, kinds, common = measure(data, language)
-        return n >= MIN_WORDS and 100 * repeat <= MAX_REPEAT_PERCENT * n and not diverges(*distances(language, n, points, kinds, common, refs))
 
+def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", refs: dict = REFERENCES) -> DataFrame:
+    """The rows of docs that the rules keep, as they are: one pass, without a shuffle."""
     at = [docs.columns.index(text), docs.columns.index(lang)]
 
     def run(batches):
         for b in batches:
-            yield b.filter(pa.array([good(t, g) for t, g in zip(b.column(at[0]).cast(pa.binary()).to_pylist(), b.column(at[1]).cast(pa.string()).to_pylist())], pa.bool_()))
+            texts, langs = b.column(at[0]).cast(pa.binary()).to_pylist(), b.column(at[1]).cast(pa.string()).to_pylist()
+            yield b.filter(pa.array([judge(t, g, refs)[-1] for t, g in zip(texts, langs)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def oracle_sql(refs: dict = REFERENCES) -> str:
+    """quality_scores(), its distances rounded to six digits, in DuckDB's SQL, over documents."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    langs = list(COMMON_WORDS)
+    forms = [(lang, i, form) for lang, ws in COMMON_WORDS.items() for i, w in enumerate(ws) for form in sorted({w, w.capitalize(), w.upper()})]
+    values = lambda rows: ", ".join("(" + ", ".join(quote(x) if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+    parts = [(lang, what, i, x) for lang, both in refs.items() for what, hist in zip(("class", "word"), both) for i, x in enumerate(hist)]
+    classes = ["[a-z]", "[A-Z]", "[0-9]", "[ \\t\\n\\x0b\\x0c\\r]", "[#*$%&|<>]", "[.,;:!?''\"()-]"]
+    count = lambda r: f"length(t) - length(regexp_replace(t, '{r}', '', 'g'))"
+    hits = ", ".join(f"{count(r)} AS k{i}" for i, r in enumerate(classes))
+    n = len(COMMON_WORDS["en"])
+    return f"""
+WITH forms(lang, i, form) AS (VALUES {values(forms)}), refs(lang, what, i, x) AS (VALUES {values(parts)}),
+t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS MATERIALIZED (SELECT r, lang AS said, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM t),
+seen AS (SELECT r, f.lang, f.i, count(*) AS n FROM words JOIN forms f ON x = form WHERE said = f.lang OR said IS NULL OR said NOT IN ({', '.join(map(quote, langs))}) GROUP BY ALL),
+totals AS (SELECT r, lang, sum(n) AS n FROM seen GROUP BY ALL),
+spoken AS MATERIALIZED (SELECT t.r, CASE WHEN lang IN ({', '.join(map(quote, langs))}) THEN lang ELSE coalesce((SELECT arg_max(s.lang, (s.n, -list_position([{', '.join(map(quote, langs))}], s.lang))) FROM totals s WHERE s.r = t.r), 'en') END AS language FROM t),
+windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM (SELECT r, i, x AS a, lead(x, 1) OVER o AS b, lead(x, 2) OVER o AS c FROM words WINDOW o AS (PARTITION BY r ORDER BY i)) WHERE c IS NOT NULL),
+covered AS (SELECT r, count(DISTINCT i + d) AS n FROM windows, (VALUES (0), (1), (2)) v(d) WHERE n > 1 GROUP BY r),
+counts AS MATERIALIZED (SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, {count('[#*$%&|<>]')} AS n_symbols, length(t) AS points, {hits}, {count('[^ -~' + chr(92) + 'x00-' + chr(92) + 'x1f' + chr(92) + 'x7f]')} AS beyond,
+  len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines FROM t),
+kinds AS (SELECT r, 'class' AS what, unnest([k0, k1, k2, k3, k4, k5, points - k0 - k1 - k2 - k3 - k4 - k5 - beyond, beyond]) AS n, unnest(range(8)) AS i, points AS total FROM counts WHERE points >= {MIN_CHARS}),
+common AS (SELECT c.r, s.i, s.n, c.n_words AS total FROM counts c JOIN spoken p ON p.r = c.r JOIN seen s ON s.r = c.r AND s.lang = p.language WHERE c.n_words >= {MIN_COMMON}),
+hist AS (SELECT * FROM kinds UNION ALL SELECT r, 'word', n, i, total FROM common
+  UNION ALL SELECT r, 'word', n_words - coalesce((SELECT sum(n) FROM common k WHERE k.r = c.r), 0), {n}, n_words FROM counts c WHERE n_words >= {MIN_COMMON}),
+ppm AS (SELECT r, what, i, CAST(n * 1000000 // greatest(1, total) AS DOUBLE) AS x FROM hist),
+both_ AS (SELECT c.r, f.what, coalesce(p.x, 0) AS x, f.x AS y, sum(coalesce(p.x, 0)) OVER (PARTITION BY c.r, f.what) AS sx, sum(f.x) OVER (PARTITION BY c.r, f.what) AS sy
+  FROM (SELECT DISTINCT r, what FROM ppm) c JOIN spoken s ON s.r = c.r JOIN refs f ON f.lang = s.language AND f.what = c.what LEFT JOIN ppm p ON p.r = c.r AND p.what = f.what AND p.i = f.i),
+shares AS (SELECT r, what, x / greatest(sx, 1e-12) AS p, y::DOUBLE / greatest(sy::DOUBLE, 1e-12) AS q FROM both_),
+js AS (SELECT r, what, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2)) AS d FROM shares GROUP BY ALL),
+judged AS (SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(v.n, 0) AS n_repeat_words, p.language, a.d AS class_distance, b.d AS word_distance
+  FROM counts c JOIN spoken p ON p.r = c.r LEFT JOIN covered v ON v.r = c.r LEFT JOIN js a ON a.r = c.r AND a.what = 'class' LEFT JOIN js b ON b.r = c.r AND b.what = 'word')
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  language, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AND coalesce(class_distance, 0) <= {MAX_CLASS_DISTANCE} AND coalesce(word_distance, 0) <= {MAX_WORD_DISTANCE} AS kept,
+  round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance
+FROM judged"""

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import links, secrets, warc
+from . import links, quality, secrets, warc
 from .common import Scratch
 from .decontaminate import leaks
 from .html import extract
 from .lines import dedup_lines
 from .minhash import near_duplicates
 from .mixing import mix
-from .quality import quality_scores
 from .shards import shard_documents
 
 
@@ -39,7 +38,7 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = quality_scores(table(spark, sf_dir, "documents"))
+    q = quality.quality_scores(table(spark, sf_dir, "documents"))
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "language", F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"))
 
 
@@ -91,6 +90,7 @@ SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id IS NOT DISTINCT FROM first THEN NULL ELSE first END AS refers_to
 FROM d""",
+    "op5_quality": quality.oracle_sql(),
     "op7_links": links.oracle_sql(),
     "op10_secrets": secrets.oracle_sql(),
     "op4_minhash": r"""
