@@ -293,25 +293,78 @@ def test_mixed_documents_are_whole(spark, hard):
 # sharding
 
 
+def new_store(spark, **options):
+    return shards.ShardStore(spark, Scratch(spark, "test-store").path("s"), 1 << 20, **options)
+
+
 def test_shards_round_trip_and_compact(spark, hard):
-    store, rows = shards.shard_documents(hard.repartition(6), target_bytes=1 << 20, arrival_rows=1)
-    assert rows_of(rows, "doc_id", "text", "shard") == rows_of(hard, "doc_id", "text", "shard")
-    assert rows.columns == [*hard.columns, "shard_"]
+    odd = hard.withColumns({"name": F.lit("n"), "_metadata": F.lit("m"), "__name": F.lit("x")})
+    store = new_store(spark)
+    store.append(odd.repartition(6), arrival_rows=1)
+    store.compact()
+    rows = store.read()
+    assert rows_of(rows.drop("shard_"), *odd.columns) == rows_of(odd, *odd.columns)
+    assert rows.columns == [*odd.columns, "shard_"]
     version, _, left = store.manifest()
     assert version >= 2 and len(left) < len(store.manifest(1)[2]) and sum(s.rows for s in left) == hard.count()
+    assert rows_of(store.read(1), "doc_id", "text") == rows_of(hard, "doc_id", "text")  # an old version stays readable after a merge
+    private, rows = shards.shard_documents(hard.repartition(6), target_bytes=1 << 20, arrival_rows=1)
+    assert len(private.versions()) == 1 and rows_of(rows, "doc_id", "text") == rows_of(hard, "doc_id", "text")
     assert shards.shard_documents(hard.limit(0))[1].count() == 0
 
 
 def test_manifests_are_committed_once(spark, hard):
-    store, _ = shards.shard_documents(hard)
-    version, schema, left = store.manifest()
+    store = new_store(spark)
+    store.append(hard)
+    state = store.state()
+    late = store._write(hard, "run-late")  # another writer has finished its files, but not its commit
+    store.append(hard)
+    store.compact()
+    store.vacuum()
     with pytest.raises(shards.ManifestConflict):
-        store.commit(version, schema, left)
+        store.commit(state, state.schema, late)
+    store.commit(store.state(), state.schema, late)
+    assert store.read().count() == 3 * hard.count()
+    store.retain, store.min_age = 1, 0
     store._write(hard, "run-lost")
+    gone = store._write(hard, "run-gone")
     store.vacuum()
-    assert store.read().count() == hard.count()
+    assert store.read().count() == 3 * hard.count() and len(store.versions()) == 1
+    with pytest.raises(FileNotFoundError):
+        store.commit(store.state(), state.schema, gone)
+    with pytest.raises(ValueError):
+        store.append(hard.withColumn("more", F.lit(1)))
+
+
+def test_a_lost_race_is_run_again(spark, hard):
+    store, other = new_store(spark), None
+    commit = store.commit
+
+    def late(state, *rest):
+        nonlocal other
+        if other is None:
+            other = shards.ShardStore(spark, store.root, 1 << 20)
+            other.append(hard)
+        return commit(state, *rest)
+
+    store.commit = late
     store.append(hard)
-    assert store.read().count() == 2 * hard.count()
+    assert store.read().count() == 2 * hard.count() and store.versions() == [1, 2]
+    store.append(hard.repartition(8), arrival_rows=1)
+    other = None
+    store.compact()
+    assert store.read().count() == 4 * hard.count() and len(store.manifest()[2]) < 8
+
+
+def test_segments_are_shared(spark, hard, monkeypatch):
+    monkeypatch.setattr(shards, "SEGMENT", 3)
+    store = new_store(spark)
+    store.append(hard.repartition(8), arrival_rows=1)
+    one = store.state()
+    store.append(hard.limit(1))
+    two = store.state()
+    assert len(one.segments) >= 3 and set(one.segments) < set(two.segments)
+    assert store._due([shards.Shard(f"p{i}", 5, 1) for i in range(4)])[0].path == "p0"  # ties go by path
 
 
 # archives
@@ -338,9 +391,25 @@ def test_foreign_archives(spark, tmp_path):
     rec = [warc.record("response", f"urn:page:{i}", f"http://h/{i}", None, b"p" * i) for i in range(5)]
     (tmp_path / "a.warc").write_bytes(b"".join(rec))
     (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in rec))
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(b"".join(rec)))  # all records in one member
+    (tmp_path / "d.warc.gz").write_bytes(warc.member(rec[0]) + warc.member(rec[1]) + warc.member(rec[2] + rec[3]) + gzip.compress(rec[4].replace(b"WARC-Type", b"warc-type")))
     read = lambda: warc.read_warc(spark, f"file://{tmp_path}", verify="true")
-    assert rows_of(read().where("record_id = 'urn:page:3'"), "payload_bytes", "payload_digest") == [(3, warc.digest(b"ppp"))] * 2
-    assert read().count() == 10
+    assert rows_of(read().where("record_id = 'urn:page:3'"), "payload_bytes", "payload_digest") == [(3, warc.digest(b"ppp"))] * 4
+    assert read().count() == 20
+
+
+@pytest.mark.parametrize("name, data", [("a.warc", b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 9\r\n\r\nshort"), ("a.warc", b"no record at all"), ("a.warc", b"no record\r\n\r\nat all"), ("a.warc", b"WARC/1.1\r\nWARC-Type: response\r\n\r\n"), ("a.warc.gz", b"plain text, not gzip"), ("a.warc.gz", "cut")])
+def test_broken_archives_are_errors(tmp_path, name, data):
+    import gzip
+
+    if data == "cut":
+        data = gzip.compress(warc.record("response", "x", None, None, b"p" * 9))[:-20]
+    (tmp_path / name).write_bytes(data)
+    for wanted in (True, False):
+        reader = warc.WarcReader({"path": str(tmp_path)})
+        reader.wanted = lambda headers: wanted
+        with pytest.raises(Exception):
+            list(reader.read(warc.FilePartition(f"{tmp_path}/{name}")))
 
 
 # lines

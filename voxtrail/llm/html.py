@@ -1,13 +1,16 @@
 """Main text of web pages: streaming parser events, text-to-tag ratios of lines, Gaussian smoothing and threshold clustering.
 
-The parser's events make lines: a line ends where a block begins or ends, and has its text and the number of its tags. The ratios of text to tags, smoothed over neighbouring lines, are split by two-means clustering into content and the rest. The content lines choose the region: all article and main elements if one of them holds content lines, else the innermost element, no part of a text itself, that holds all content lines. The text is every line of the region outside of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments, short lines too.
+The parser's events make lines: a line ends where a block begins or ends, and has its text, the number of its tags and how much of it stands in links. The ratios of text to tags, smoothed over neighbouring lines, are split by two-means clustering into content and the rest. The content lines choose the region: the article elements, if they hold half of the content in reach, else the main elements, else the innermost element, no part of a text itself, that holds all content lines. Of the region's lines those stay that are content, that stand between content lines, or that are no list of links (half of the text or more in links): a short heading or closing line stays, a row of links beside the text doesn't.
 
-Defined results: a null or empty html, or one without text, gives an empty text; a page cut off in the middle is read as far as it goes; unknown declarations are taken as text; null urls and ids, repeated rows and other columns pass by.
+Tag rules help: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are never content. Elements of these names always go. Blocks that class, id or role name so go too, but for those that are also named as content, and for those that hold most of the page's text (if they aren't adverts or comments). Of inline elements go only buttons and the like, and those that a class calls adverts outright; the others are part of their line.
+
+Defined results: a null or empty html, or one without text, gives an empty text; a page cut off in the middle is read as far as it goes; unknown declarations are taken as text; all lines of equal ratio are content; null urls and ids, repeated rows and other columns pass by; an empty table gives an empty result. Time and memory are linear in the page, however deep its elements.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -18,62 +21,92 @@ from pyspark.sql import functions as F
 # HTML elements by their part in a page, and words of class, id and role that mark what isn't the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody tfoot thead tr ul title".split())
-ASIDE = frozenset("nav footer aside form script style noscript template button select textarea iframe object svg canvas head title menu dialog".split())
-ASIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising adbox sponsor sponsored promo banner cookie cookies consent gdpr notice notices alert menu nav navbar navigation sidebar footer header masthead comment comments disqus replies share sharing social related breadcrumb breadcrumbs newsletter subscribe popup modal widget contentinfo complementary search dialog".split())
-REGION = frozenset(("article", "main"))
+ASIDE = frozenset("nav header footer aside form script style noscript template button select textarea iframe object svg canvas head title menu dialog".split())
+ADVERT_WORDS = frozenset("ad ads advert adverts advertisement advertising adbox sponsor sponsored promo".split())
+COMMENT_WORDS = frozenset("comment comments disqus replies".split())
+OTHER_WORDS = frozenset("banner cookie cookies consent gdpr notice notices alert menu nav navbar navigation sidebar footer header masthead share sharing social related breadcrumb breadcrumbs newsletter subscribe popup modal widget contentinfo complementary search dialog".split())
+CONTENT_WORDS = frozenset("content main article post entry story body page wrapper container".split())
+INLINE_ADVERTS = frozenset("ad ads advert advertisement sponsor sponsored".split())
 CLOSES = {"p": frozenset(("p",)), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p")), "tr": frozenset(("tr", "td", "th", "p")), "td": frozenset(("td", "th", "p")), "th": frozenset(("td", "th", "p")), "option": frozenset(("option",))}
-SIGMA = 1.0
 #: Elements that are a part of a text, so never the region of it.
 PARTS = frozenset("p li tr td th dt dd h1 h2 h3 h4 h5 h6 section pre table thead tbody tfoot caption ul ol dl blockquote figure figcaption details summary address center fieldset legend".split())
+SIGMA = 1.0
 _SPLIT = re.compile(r"[^a-z]+")
+#: How an element was marked: not at all, as what isn't content if it doesn't hold most of the page, or for certain.
+OPEN, SOFT, HARD = range(3)
 
 
 class Lines(HTMLParser):
-    """The lines of a page. Each element that can hold blocks has a number; a line knows the numbers of those it stands in."""
+    """The lines of a page and the tree of its blocks, each with a number larger than its parent's."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []  # name, number, boilerplate
-        self.kinds: list[str] = []
-        self.lines: list[tuple[str, int, tuple, bool]] = []
+        self.stack: list[tuple[str, int, bool]] = []  # open elements: name, number of the block, and whether it mutes its text
+        self.open: Counter = Counter()
+        self.names, self.parents, self.marks = [""], [0], [OPEN]
+        self.lines: list[tuple[str, int, int, int]] = []  # text, tags, length in links, block
         self.text: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = self.muted = 0
+
+    def at(self) -> int:
+        return self.stack[-1][1] if self.stack else 0
 
     def end_line(self) -> None:
-        text = " ".join("".join(self.text).split())
-        if text:
-            self.lines.append((text, self.tags, tuple(n for _, n, _ in self.stack), bool(self.stack) and self.stack[-1][2]))
-            self.tags = 0
-        self.text = []
-
-    def aside(self, tag: str, attrs: list) -> bool:
-        if tag in ASIDE or tag == "header" and not any(k in REGION for k, _, _ in self.stack):
-            return True
-        if tag in REGION or tag in ("html", "body"):
-            return False
-        words = " ".join(v for k, v in attrs if v and k in ("class", "id", "role")).lower()
-        return bool(words) and not ASIDE_WORDS.isdisjoint(_SPLIT.split(words))
+        if self.text:
+            if text := " ".join("".join(self.text).split()):
+                self.lines.append((text, self.tags, self.linked, self.at()))
+                self.tags = self.linked = 0
+            self.text = []
+
+    def mark(self, tag: str, attrs: list) -> int:
+        if tag in ASIDE:
+            return HARD
+        if tag in ("html", "body", "article", "main"):
+            return OPEN
+        said = " ".join(v for k, v in attrs if v and k in ("class", "id", "role")).lower()
+        if not said:
+            return OPEN
+        if tag not in BLOCK:
+            return OPEN if INLINE_ADVERTS.isdisjoint(said.split()) else HARD
+        words = _SPLIT.split(said)
+        if not (ADVERT_WORDS.isdisjoint(words) and COMMENT_WORDS.isdisjoint(words)):
+            return HARD
+        return SOFT if not OTHER_WORDS.isdisjoint(words) and CONTENT_WORDS.isdisjoint(words) else OPEN
 
     def handle_starttag(self, tag, attrs):
-        self.tags += 1
         if tag in VOID:
-            if tag in BLOCK:
-                self.end_line()
-            else:
+            self.handle_startendtag(tag, attrs)
+            return
+        self.tags += 1
+        mark = self.mark(tag, attrs)
+        if tag not in BLOCK:
+            if tag in ("td", "th") or mark == HARD:
                 self.text.append(" ")
+            self.push(tag, self.at(), mark == HARD)
             return
-        apart = self.aside(tag, attrs)
-        if tag in BLOCK or tag in ASIDE or apart:
-            self.end_line()
-            if (ends := CLOSES.get(tag)) and self.stack and self.stack[-1][0] in ends:
-                while self.stack and self.stack[-1][0] in ends:
-                    self.stack.pop()
-            elif tag in BLOCK and self.stack and self.stack[-1][0] == "p":  # a block ends a paragraph
-                self.stack.pop()
-            self.stack.append((tag, len(self.kinds), apart or bool(self.stack) and self.stack[-1][2]))
-            self.kinds.append(tag)
-        elif tag in ("td", "th"):
-            self.text.append(" ")
+        self.end_line()
+        ends = CLOSES.get(tag, ("p",))
+        while self.stack and self.innermost() in ends:
+            self.pop()
+        self.names.append(tag)
+        self.parents.append(self.at())
+        self.marks.append(mark)
+        self.push(tag, len(self.names) - 1, False)
+
+    def innermost(self) -> str:
+        """The last open element, inline ones left out up to a few."""
+        return next((name for name, _, _ in reversed(self.stack[-8:]) if name in BLOCK), "")
+
+    def push(self, tag: str, number: int, mutes: bool) -> None:
+        self.stack.append((tag, number, mutes))
+        self.open[tag] += 1
+        self.muted += mutes
+
+    def pop(self) -> str:
+        tag, _, mutes = self.stack.pop()
+        self.open[tag] -= 1
+        self.muted -= mutes
+        return tag
 
     def handle_startendtag(self, tag, attrs):
         self.tags += 1
@@ -84,16 +117,21 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
-        if tag in BLOCK or any(k == tag for k, _, _ in self.stack):
+        if tag in BLOCK:
             self.end_line()
-            if any(k == tag for k, _, _ in self.stack):
-                while self.stack.pop()[0] != tag:
-                    pass
-        elif tag in ("td", "th"):
+        if self.open[tag]:
+            while tag in BLOCK or self.stack[-1][0] not in BLOCK:  # an inline end tag closes no block
+                if self.pop() == tag:
+                    break
+        if tag in ("td", "th"):
             self.text.append(" ")
 
     def handle_data(self, data):
+        if self.muted:
+            return
         self.text.append(data)
+        if self.open["a"]:
+            self.linked += len(data)
 
 
 def lines_of(html: str) -> Lines:
@@ -128,24 +166,65 @@ def threshold(x: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def main_text(html: str | None) -> str:
+def clusters(ratio: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """Which lines are content; links: the share of a line that stands in links. A line of links is no content for its neighbours' sake."""
+    level = smooth(ratio)
+    least = threshold(level) - 1e-9
+    return (level >= least) & ((links < 0.5) | (ratio >= least))
+
+
+def _summed(own: np.ndarray, parents: list) -> np.ndarray:
+    """For each element the sum of its own and its descendants' values."""
+    total = own.tolist()
+    for n in range(len(parents) - 1, 0, -1):
+        total[parents[n]] += total[n]
+    return np.array(total)
+
+
+def _inside(chosen: np.ndarray, parents: list) -> np.ndarray:
+    """The elements that are chosen or stand in a chosen one."""
+    found = chosen.tolist()
+    for n in range(1, len(parents)):
+        found[n] = found[n] or found[parents[n]]
+    return np.array(found)
+
+
+def main_text(html: str | None, cluster=clusters) -> str:
     page = lines_of(html or "")
-    own = [x for x in page.lines if not x[3]]
-    if not own:
+    if not page.lines:
         return ""
-    ratio = np.array([len(t) / max(1, n) for t, n, _, _ in page.lines])
-    level = smooth(ratio)
-    content = level >= threshold(level)
-    held: dict[int, int] = {}
-    for (_, _, inside, apart), good in zip(page.lines, content):
-        if not apart:
-            for n in inside:
-                held[n] = held.get(n, 0) + bool(good)
-    region = {n for n in held if page.kinds[n] in REGION}
-    if not any(held[n] for n in region):
-        total = sum(bool(good) for (_, _, _, apart), good in zip(page.lines, content) if not apart)
-        region = {max((n for n in held if page.kinds[n] not in PARTS and held[n] == total > 0), default=None)} - {None}
-    return "\n".join(t for t, _, inside, _ in own if not region or not region.isdisjoint(inside))
+    texts, tags, linked, at = zip(*page.lines)
+    names, parents, marks, at = np.array(page.names), page.parents, np.array(page.marks), np.array(at)
+    size = np.array([len(t) for t in texts])
+    weigh = lambda x: _summed(np.bincount(at, weights=x, minlength=len(names)), parents)
+    apart = _inside(marks == HARD, parents)
+    held = weigh(size * ~apart[at])
+    apart = _inside((marks == HARD) | (marks == SOFT) & (2 * held <= held[0]), parents)
+    own = ~apart[at]
+    if not own.any():
+        return ""
+    ratio = np.array([s / max(1, n) for s, n in zip(size, tags)])
+    links = np.array(linked) / size
+    content = cluster(ratio, links) & own
+    if not content.any():
+        content = own
+    good, total = weigh(size * content), float((size * content).sum())
+    region = None
+    for kind in ("article", "main"):
+        chosen = _inside((names == kind) & ~apart, parents)
+        if chosen.any() and 2 * (size * content)[chosen[at]].sum() >= total:
+            region = chosen
+            break
+    if region is None:
+        whole = np.flatnonzero((good >= total - 0.5) & ~np.isin(names, list(PARTS)))
+        region = _inside(np.arange(len(names)) == whole[-1], parents)
+    use = own & region[at]
+    places = np.flatnonzero(use & content)
+    if len(places):
+        between = np.zeros(len(at), bool)
+        between[places[0] : places[-1] + 1] = True
+        use &= content | between | (links < 0.5)
+    return "\n".join(t for t, keep in zip(texts, use) if keep)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -1,79 +1,136 @@
-"""Line dedup: maximal runs of lines that repeat, found by prefix doubling over line ids, in DataFrame operations only.
+"""Line dedup: a suffix array over sequences of line ids by distributed prefix doubling; intervals of a longest common prefix reveal the repeated runs, and later copies are deleted. DataFrame operations only.
 
-A text is its sequence of lines with a word. The rank of the suffix at a line by its first 2**k lines is made from two ranks by 2**(k-1) lines, as in the doubling that builds a suffix array; ranks are hashes, so every task gives equal prefixes equal ranks without a sort of all suffixes. Suffixes that agree in m lines form the interval of a longest common prefix of m or more, and two overlapping ranks name it. A run counts as repeated if it has MIN_WORDS words: for each line, the shortest run of so many words that starts there and the shortest that ends there are named, so each line of a maximal repeated run stands in a named run inside it. Of each name the first place stays, in order of doc_id and line; the lines of all later places go. A deleted line thus always has an equal earlier line.
+Ids and order: a text is its sequence of lines with a word; a line's id is the rank of its 128-bit hash among all lines that occur twice or more (the others are in no repeated run and leave at once). A rank is the place of a suffix's group in the suffix array: names are range-sorted, and the numbers of rows of the ranges before, then of the names before, are summed. In each round a suffix's rank by 2**k lines and that of the suffix 2**k lines on are sorted as a pair and give the rank by 2**(k+1) lines; rounds end when no group splits, or after the lines that a run of MIN_WORDS words can have at most, since no longer prefix decides anything here.
 
-Names are counted with partial sums before the shuffle, and the join with the names that occur twice or more is between two written tables, of which Spark splits the large partitions. A text's row is (doc_id, hash of text).
+Runs: in the order of ranks each suffix is held against the two beside it, across the edges of ranges too. The longer of the two common prefixes is the longest that occurs twice at all, so it says which of the suffix's runs repeat: those of MIN_WORDS words that lose them without their first line, or without their last. The suffixes with a run in common are the interval of that prefix; its first place, in order of doc_id and line, stays, and the lines of the run go at all others. Longer repeated runs are unions of such runs, so a line goes if and only if it stands in a run of MIN_WORDS words or more that an earlier place has too. Runs are compared by the ids of their lines, not by hashes of runs.
 
-Defined results: a null text stays null, with no lines; lines without a word aren't compared, and go only with the run around them; a null doc_id comes last in order; rows repeated in full (doc_id and text) are one document and get the same answer; other columns are ignored by dedup_lines().
+Hot lines and runs: see hot_join(). A text's row is (doc_id, hash of text).
+
+Defined results: a null text stays null, with no lines; lines without a word aren't compared, and go only with the run around them; a null doc_id comes last in order; rows repeated in full (doc_id and text) are one document and get the same answer; an empty table gives an empty result; other columns are ignored by dedup_lines().
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, n_words
+from .common import Scratch, hot_join, n_words
 
 MIN_WORDS = 50
-#: Ranks by 1, 2, 4 ... lines; two of the last name a run of up to twice as many.
-LEVELS = 6
-
-
-
-def named_runs(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(name, length, words, row, text_key, first, last): the shortest runs of min_words words from and to each line; first and last are line numbers."""
-    if min_words > 2**LEVELS:
-        raise ValueError(f"min_words can be {2**LEVELS} at most")
-    lines = F.filter(F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("at"), F.xxhash64(x).alias("rank"), n_words(x).alias("words"))), lambda s: s["words"] > 0)
-    df = docs.select(F.col(doc_id).cast("long").alias("row"), F.xxhash64(text).alias("text_key"), lines.alias("lines")).where(F.size("lines") > 0)
-    df = df.select("row", "text_key", F.col("lines.at").alias("at"), F.col("lines.rank").alias("r0"), F.col("lines.words").alias("w0"), F.size("lines").alias("n"))
-    for k in range(1, LEVELS):
-        half = 1 << (k - 1)
-        starts = F.when(F.col("n") >= 2 * half, F.sequence(F.lit(1), F.col("n") - 2 * half + 1)).otherwise(F.array().cast("array<int>"))
-        rank = F.transform(starts, lambda i: F.xxhash64(F.element_at(f"r{k - 1}", i), F.element_at(f"r{k - 1}", i + half)))  # noqa: B023
-        words = F.transform(starts, lambda i: F.element_at(f"w{k - 1}", i) + F.element_at(f"w{k - 1}", i + half))  # noqa: B023
-        df = df.withColumns({f"r{k}": rank, f"w{k}": words})
-    df = df.select("row", "text_key", "at", "n", F.array(*[f"r{k}" for k in range(LEVELS)]).alias("ranks"), F.array(*[f"w{k}" for k in range(LEVELS)]).alias("words"))
-    n, steps = F.col("n"), F.array(*[F.lit(k) for k in reversed(range(LEVELS))])
-
-    def length(i: Column, onward: bool) -> Column:
-        """Lines of the shortest run from line i onward, or up to it; its words are counted down in steps of 32, 16 ... 1 lines."""
-
-        def step(s: Column, k: Column) -> Column:
-            size = F.call_function("shiftleft", F.lit(1), k)
-            start = i + s["m"] if onward else i - s["m"] - size + 1
-            inside = start + size - 1 <= n if onward else start >= 1
-            more = F.when(inside, s["sum"] + F.element_at(F.element_at("words", k + 1), start))
-            return F.when(more < min_words, F.struct((s["m"] + size).alias("m"), more.alias("sum"))).otherwise(s)
-
-        return F.aggregate(steps, F.struct(F.lit(0).alias("m"), F.lit(0).cast("long").alias("sum")), step)["m"] + 1
-
-    every = F.sequence(F.lit(1), n)
-    onward = F.transform(every, lambda i: F.struct(i.alias("i"), length(i, True).alias("m")))
-    back = F.transform(F.transform(every, lambda e: F.struct(e.alias("e"), length(e, False).alias("m"))), lambda s: F.struct((s["e"] - s["m"] + 1).alias("i"), s["m"].alias("m")))
-    runs = F.filter(F.array_distinct(F.concat(onward, back)), lambda s: (s["i"] >= 1) & (s["i"] + s["m"] - 1 <= n))
-    df = df.withColumn("run", F.explode(runs)).withColumns({"i": F.col("run.i"), "m": F.col("run.m")})
-    level = F.lit(0)
-    for k in range(1, LEVELS):
-        level = F.when(F.col("m") >= 1 << k, k).otherwise(level)
-    df = df.withColumn("level", level).withColumn("by", F.element_at("ranks", F.col("level") + 1))
-    name = F.xxhash64("m", F.element_at("by", F.col("i")), F.element_at("by", F.col("i") + F.col("m") - F.expr("shiftleft(1, level)")))
-    return df.select(name.alias("name"), F.col("m").alias("length"), "row", "text_key", F.element_at("at", F.col("i")).alias("first"), F.element_at("at", F.col("i") + F.col("m") - 1).alias("last"))
+#: Names or suffixes in one range of the order, on average.
+RANGE_ROWS = 100_000
+LAST = (1 << 63) - 1
+PLACE = ("row", "text_key", "pos")
+
+
+def text_keys(doc_id: str, text: str) -> list[Column]:
+    """row and text_key: null ids come last and apart from the largest id."""
+    row = F.col(doc_id).cast("long")
+    key = F.when(row.isNull(), F.xxhash64(F.lit("none"), F.col(text))).otherwise(F.xxhash64(text))
+    return [F.coalesce(row, F.lit(LAST)).alias("row"), key.alias("text_key")]
+
+
+def ordered(df: DataFrame, keys: list[str], scratch: Scratch, name: str) -> DataFrame:
+    """df in the order of keys: part, the number of its range, and mid, which rises within a range."""
+    parts = max(1, -(-df.count() // RANGE_ROWS))
+    rows = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("mid", F.monotonically_increasing_id())
+    return scratch.table(rows.withColumn("part", F.shiftright("mid", 33)), name)
+
+
+def ranked(names: DataFrame, keys: list[str], scratch: Scratch, name: str) -> DataFrame:
+    """names (keys and n, the rows of a name) with rank, one more than the rows of all names before."""
+    rows = ordered(scratch.table(names, f"{name}-names"), keys, scratch, f"{name}-sorted")
+    sums = rows.groupBy("part").agg(F.sum("n").alias("all"))  # one row for each range
+    before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select("part", F.coalesce(F.sum("all").over(before(W.orderBy("part"))), F.lit(0)).alias("start"))
+    inside = F.coalesce(F.sum("n").over(before(W.partitionBy("part").orderBy("mid"))), F.lit(0))
+    return scratch.table(rows.join(F.broadcast(starts), "part").select(*keys, "n", (F.col("start") + inside + 1).alias("rank")), name)
+
+
+def numbered_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) -> DataFrame:
+    """(row, text_key, pos, at, words, left, id, rank) of the lines that occur twice or more: pos counts lines with words, at all lines, left those with words from here on."""
+    lines = F.filter(F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("at"), F.xxhash64(x).alias("h1"), F.xxhash64(F.lit("line"), x).alias("h2"), n_words(x).alias("words"))), lambda s: s["words"] > 0)
+    df = docs.select(*text_keys(doc_id, text), lines.alias("lines"))
+    df = df.select("row", "text_key", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("pos", "line"))
+    df = scratch.table(df.select(*PLACE, (F.col("n_lines") - F.col("pos")).alias("left"), "line.*"), "lines")
+    total = df.count()
+    names = ranked(df.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1"), ["h1", "h2"], scratch, "ids")
+    found = hot_join(df, names, ["h1", "h2"], total).dropDuplicates(list(PLACE))
+    found = scratch.table(found.select(*PLACE, "at", "words", "left", F.col("rank").alias("id"), "rank"), "rank-0")
+    scratch.drop("lines")
+    return found
+
+
+def suffix_ranks(lines: DataFrame, scratch: Scratch, most: int) -> DataFrame:
+    """lines with rank: the order of the suffixes by their first most lines or more."""
+    by_text = W.partitionBy("row", "text_key").orderBy("pos")
+    total, groups, half, k = lines.count(), -1, 1, 0
+    while half < most:
+        # what follows a run's end sorts first; a line that occurs once makes its suffix one of a kind
+        ahead = F.max("rank").over(by_text.rangeBetween(half, half))
+        once = -F.abs(F.xxhash64(*PLACE) % LAST) - 1
+        second = F.when(F.col("left") <= half, 0).otherwise(F.coalesce(ahead, once))
+        pairs = scratch.table(lines.withColumn("second", second).withColumnRenamed("rank", "first"), f"pairs-{k}")
+        names = ranked(pairs.groupBy("first", "second").agg(F.count("*").alias("n")), ["first", "second"], scratch, f"round-{k}")
+        count = names.count()
+        if count == groups:
+            return lines
+        groups, half, k = count, 2 * half, k + 1
+        lines = scratch.table(hot_join(pairs, names, ["first", "second"], total).select(*lines.columns), f"rank-{k}")
+        scratch.drop(f"pairs-{k - 1}")
+    return lines
+
+
+def common_prefix(a: Column, b: Column) -> Column:
+    """The number of equal entries at the start of two arrays; 0 if one is null."""
+    differ = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
+    return F.coalesce(F.when(differ == 0, F.size(a)).otherwise(differ - 1), F.lit(0)).cast("int")
+
+
+def repeated_runs(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(name, row, text_key, pos, first, last): the shortest runs of min_words words that occur twice or more; name is the array of their lines' ids, first and last are line numbers."""
+    lines = numbered_lines(docs, scratch, doc_id, text)
+    ranks = suffix_ranks(lines, scratch, min_words)
+    # the lines from here on, as far as they occur twice and the words without the first line's are too few
+    ahead = F.collect_list(F.struct("pos", "id", "words", "at")).over(W.partitionBy("row", "text_key").orderBy("pos").rangeBetween(0, min_words - 1))
+    rows = ranks.select(*PLACE, "rank", F.filter(ahead, lambda x, i: x["pos"] == F.col("pos") + i).alias("run"))
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("rest"), F.lit(0).alias("short"), F.lit(0).alias("most"))
+
+    def count(s: Column, x: Column) -> Column:
+        """short: lines whose words together are too few; most: lines without the first line's words too few."""
+        sum_, rest = s["sum"] + x["words"], F.when(s["most"] == 0, F.lit(0).cast("long")).otherwise(s["rest"] + x["words"])
+        inside = (rest < min_words) & (s["rest"] < min_words)
+        return F.struct(sum_.alias("sum"), F.when(inside, rest).otherwise(F.lit(LAST >> 1)).alias("rest"), (s["short"] + (sum_ < min_words).cast("int")).alias("short"), (s["most"] + inside.cast("int")).alias("most"))
+
+    rows = rows.withColumn("m", F.aggregate("run", start, count)).where(F.col("m.sum") >= min_words)
+    rows = rows.select(*PLACE, "rank", (F.col("m.short") + 1).alias("least"), F.slice("run", F.lit(1), F.greatest(F.col("m.most"), F.col("m.short") + 1)).alias("run"))
+    rows = rows.select(*PLACE, "rank", "least", F.col("run.id").alias("ids"), F.col("run.at").alias("at"))
+    sa = ordered(scratch.table(rows, "suffixes"), ["rank", *PLACE], scratch, "array")
+    inside = W.partitionBy("part").orderBy("mid")
+    sa = sa.withColumns({"before": F.lag("ids").over(inside), "after": F.lead("ids").over(inside), "first": F.row_number().over(inside) == 1})
+    # the suffixes at the edges of the ranges: one row for each range, in one task
+    edges = sa.where(F.col("first") | F.col("after").isNull()).groupBy("part").agg(F.min_by("ids", "mid").alias("low"), F.max_by("ids", "mid").alias("high"))
+    across = W.orderBy("part")
+    edges = edges.select(F.col("part"), F.lag("high").over(across).alias("from"), F.lead("low").over(across).alias("to"))
+    sa = sa.join(F.broadcast(edges), "part")
+    lcp = F.greatest(common_prefix(F.col("ids"), F.coalesce("before", F.when(F.col("first"), F.col("from")))), common_prefix(F.col("ids"), F.coalesce("after", "to")))
+    sa = sa.withColumn("lcp", lcp).where("lcp >= least").withColumn("m", F.explode(F.sequence("least", "lcp")))
+    return scratch.table(sa.select(F.slice("ids", F.lit(1), F.col("m")).alias("name"), *PLACE, F.element_at("at", 1).alias("first"), F.element_at("at", F.col("m")).alias("last")), "runs")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_lines, n_removed and text without the later copies, for every row."""
     scratch = Scratch(docs.sparkSession, "lines")
-    runs = scratch.table(named_runs(docs, min_words, doc_id, text), "runs")
-    place = F.struct(F.col("row").isNull().alias("last_of_all"), F.col("row"), F.col("text_key"), F.col("first"))
-    names = runs.groupBy("name", "length").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1").select("name", "length", "origin")
-    names = scratch.table(names, "names")
-    later = runs.join(names, ["name", "length"]).where(place > F.col("origin"))
+    runs = repeated_runs(docs, scratch, min_words, doc_id, text)
+    place = F.struct(*PLACE)
+    names = scratch.table(runs.groupBy("name").agg(F.min(place).alias("origin"), F.count("*").alias("n")), "names")
+    later = hot_join(runs, names, ["name"], runs.count()).where(place > F.col("origin"))
     gone = later.groupBy("row", "text_key").agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last")))).alias("gone"))
     gone = scratch.table(gone.select(F.col("row").alias("gone_row"), F.col("text_key").alias("gone_key"), "gone"), "gone")
-    scratch.drop("runs")
-    scratch.drop("names")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(doc_id).cast("long").alias("row"), F.xxhash64(text).alias("text_key")).hint("merge")
-    joined = rows.join(gone, rows["row"].eqNullSafe(gone["gone_row"]) & (rows["text_key"] == gone["gone_key"]), "left").select("doc_id", "text", "gone", F.split("text", "\n", -1).alias("lines"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *text_keys(doc_id, text)).hint("merge")
+    joined = rows.join(gone, (rows["row"] == gone["gone_row"]) & (rows["text_key"] == gone["gone_key"]), "left").select("doc_id", "text", "gone", F.split("text", "\n", -1).alias("lines"))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"), lambda i: F.element_at("lines", i + 1))
-    return joined.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long")
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return joined.select("doc_id", n_lines.alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), text.alias("text"))

@@ -30,7 +30,7 @@ SMALL = 24
 BLOCK = 512
 BLOCK_BYTES = 32 << 20
 #: Pairs of one class that are compared in one place.
-HUB = 1024
+HUB = 128
 
 _U = np.uint64
 

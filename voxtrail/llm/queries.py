@@ -46,8 +46,15 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+#: The query's table of blocked seeds, an input like the rules: first labels of hosts, but for www, blog and m.
+BLOCKED_LABELS = ("spam-farm", "cheap-pills", "casino-win", "free-bets")
+_BLOCKED_HOST = r"^((www|blog|m)\.)?(" + "|".join(BLOCKED_LABELS) + r")\."
+
+
 def op7_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = links.judge(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
+    hosts = pages.select(links.split_url(F.col("url"))[0].alias("host")).where(F.col("host").rlike(_BLOCKED_HOST)).distinct()
+    judged = links.judge(pages, seeds=hosts.withColumn("kind", F.lit("d")))
     return judged.withColumns({c: F.round(c, 9) for c in ("trust", "distrust")})
 
 
@@ -91,7 +98,7 @@ SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id IS NOT DISTINCT FROM first THEN NULL ELSE first END AS refers_to
 FROM d""",
     "op5_quality": quality.oracle_sql(),
-    "op7_links": links.oracle_sql(),
+    "op7_links": links.oracle_sql(seed_hosts=f"SELECT host FROM hosts WHERE regexp_matches(host, '{_BLOCKED_HOST}')"),
     "op10_secrets": secrets.oracle_sql(),
     "op4_minhash": r"""
 WITH RECURSIVE words AS (

@@ -1,10 +1,12 @@
 """WARC archives as a Python data source, and an archive writer that stores equal payloads once.
 
-Reading: a partition is a file. The record type and header columns that a filter names are checked as soon as a record's headers are parsed; of a gzip member only the first bytes are inflated for that, and where the writer has left the member's length in its header (the skip-length field of the WARC annex) the rest of an unwanted record is passed over unread. Other members are inflated to their end. Writing: a task writes files of its own, of up to FILE_BYTES each; the driver commits by one list of the files that count, so files of lost attempts are never read.
+Reading: a partition is a file. The record type and header columns that a filter names are checked as soon as a record's headers are parsed; of a gzip member only the first bytes are inflated for that, and where the writer has left the member's length in its header (the skip-length field of the WARC annex) the rest of an unwanted record is passed over unread. Other members are inflated as a stream and hold any number of records: a file that is one member is read to its last record, a piece at a time. What isn't a record, or is cut off, is an error, never passed over. Writing: a task writes files of its own, of up to FILE_BYTES each; the driver commits by one list of the files that count, so files of lost attempts are never read.
 
 Spark keeps the planned reader of a loaded DataFrame, pushed filters included, so each differently filtered scan loads the archives anew: call read_warc() for it.
 
-Defined results: a null html is an empty payload; a null page_id is smaller than any other; of repeated rows (equal page_id and payload) all are responses if one is; a null url leaves out the target header, and control characters in a url are percent-encoded; other columns are ignored.
+Pages are shuffled by payload only if payloads occur twice at all; where the copies' table is small, of a counted size, not even then. One payload that very many pages share is left to the adaptive splitting of skewed joins.
+
+Defined results: a null html is an empty payload; a null page_id is smaller than any other; of repeated rows (equal page_id and payload) all are responses if one is; a null url leaves out the target header, and control characters in a url are percent-encoded; an empty table gives an empty archive, and that no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ FILE_BYTES = 64 << 20
 DATE = "2024-01-01T00:00:00Z"
 MIN_BYTES = 0
 HEAD = 4096
+#: Payloads with copies, at 50 bytes each, that are broadcast.
+MOST_BROADCAST = 100_000
 SCHEMA = "record_type string, record_id string, target_uri string, refers_to string, payload_digest string, payload_bytes long, headers map<string,string>, payload binary"
 _HEADER = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "refers_to": "WARC-Refers-To", "payload_digest": "WARC-Payload-Digest"}
 _ARROW = pa.schema([(c, pa.string()) for c in _HEADER] + [("payload_bytes", pa.int64()), ("headers", pa.map_(pa.string(), pa.string())), ("payload", pa.binary())])
@@ -83,98 +87,150 @@ def parse_head(head: bytes) -> tuple[dict, int] | None:
     end = head.find(b"\r\n\r\n")
     if end < 0:
         return None
+    if not head.startswith(b"WARC/"):
+        raise ValueError("not a record")
     lines = head[:end].decode("utf-8", "replace").split("\r\n")
-    return {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}, end + 4
+    headers = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    if not field(headers, "Content-Length", "").isdigit():
+        raise ValueError("a record without its length")
+    return headers, end + 4
+
+
+def field(headers: dict, name: str, default=None):
+    """A header, whatever the case of its name."""
+    got = headers.get(name)
+    return got if got is not None else next((v for k, v in headers.items() if k.lower() == name.lower()), default)
+
+
+class Pieces:
+    """A stream's bytes, a part at a time. pull() gives the next piece, nothing at the end; jump(n), if there is one, passes n bytes over unread."""
+
+    def __init__(self, pull, data: bytes = b"", jump=None):
+        self.pull, self.data, self.jump = pull, data, jump
+
+    def fill(self, n: int) -> bool:
+        parts, have = [self.data], len(self.data)
+        while have < n and (piece := self.pull()):
+            parts.append(piece)
+            have += len(piece)
+        self.data = b"".join(parts)
+        return have >= n
+
+    def take(self, n: int) -> bytes:
+        if not self.fill(n):
+            raise ValueError("a record is cut off")
+        got, self.data = self.data[:n], self.data[n:]
+        return got
+
+    def skip(self, n: int) -> None:
+        if self.jump and n > len(self.data):
+            self.jump(n - len(self.data))
+            self.data = b""
+            return
+        while n > 0:
+            part = self.take(min(n, max(len(self.data), 1)))
+            n -= len(part)
 
 
-def block_of(data: bytes, headers: dict, at: int) -> bytes:
-    block = data[at : at + int(headers["Content-Length"])]
-    if len(block) < int(headers["Content-Length"]):
-        raise ValueError("a record is cut off")
-    return block
+def records(pieces: Pieces, wanted):
+    """(headers, block) of the wanted records one after the other."""
+    while True:
+        while pieces.fill(1) and pieces.data[:1] in b"\r\n":
+            pieces.data = pieces.data.lstrip(b"\r\n")
+        if not pieces.data:
+            return
+        n = HEAD
+        while (parsed := parse_head(pieces.data)) is None:
+            if not pieces.fill(n) and parse_head(pieces.data) is None:
+                raise ValueError("a record without headers")
+            n *= 4
+        headers, at = parsed
+        pieces.skip(at)
+        n = int(field(headers, "Content-Length"))
+        if wanted(headers):
+            yield headers, pieces.take(n)
+        else:
+            pieces.skip(n)
+
+
+def inflated(stream, data: bytes):
+    """A function that gives the inflated pieces of gzip members one after the other, from data and then the stream."""
+    opener = None
+
+    def pull() -> bytes:
+        nonlocal data, opener
+        while True:
+            if not data and not (data := stream.read(1 << 16)):
+                if opener is not None:
+                    raise ValueError("a member is cut off")
+                return b""
+            opener = opener or zlib.decompressobj(31)
+            piece = opener.decompress(data, 1 << 20)
+            data = opener.unconsumed_tail
+            if opener.eof:
+                data, opener = opener.unused_data, None
+            if piece:
+                return piece
+
+    return pull
+
+
+def own_length(raw: Pieces) -> tuple[int, int, int]:
+    """Of the member that raw stands at: its length and that of its data, as its header names them (0: it doesn't), and where the data starts."""
+    if raw.data[:3] != b"\x1f\x8b\x08":
+        raise ValueError("not a gzip member")
+    if raw.data[3] != 4 or not raw.fill(12):  # nothing but extra fields
+        return 0, 0, 0
+    end = 12 + struct.unpack_from("<H", raw.data, 10)[0]
+    raw.fill(end)
+    at = 12
+    while at + 4 <= min(end, len(raw.data)):
+        name, n = raw.data[at : at + 2], struct.unpack_from("<H", raw.data, at + 2)[0]
+        if name == b"sl" and n == 8:
+            return (*struct.unpack_from("<II", raw.data, at + 4), end)
+        at += 4 + n
+    return 0, 0, 0
+
+
+def raw_pieces(stream) -> Pieces:
+    def jump(n: int) -> None:
+        if stream.tell() + n > stream.size():
+            raise ValueError("a record is cut off")
+        stream.seek(n, 1)
+
+    return Pieces(lambda: stream.read(1 << 16), jump=jump)
 
 
 def members(stream, wanted):
-    """(headers, block) of the wanted records of a .warc.gz stream; wanted(headers) is asked before the block is inflated."""
-    data = b""
-
-    def fill(n: int) -> bool:
-        nonlocal data
-        while len(data) < n:
-            more = stream.read(max(1 << 16, n - len(data)))
-            if not more:
-                return False
-            data += more
-        return True
-
-    while fill(10):
-        length = start = 0
-        if data[3] & 4 and fill(12):
-            extra = struct.unpack_from("<H", data, 10)[0]
-            fill(12 + extra)
-            at, start = 12, 12 + extra
-            while at + 4 <= 12 + extra:
-                name, n = data[at : at + 2], struct.unpack_from("<H", data, at + 2)[0]
-                if name == b"sl" and n == 8:
-                    length = struct.unpack_from("<I", data, at + 4)[0]
-                at += 4 + n
-        if length:
-            fill(min(length, start + HEAD))
-            opener, n = zlib.decompressobj(-15), HEAD
-            head = opener.decompress(data[start : start + HEAD], HEAD)
-            while (parsed := parse_head(head)) is None and n < length:
-                n *= 4
-                fill(min(length, start + n))
-                head = zlib.decompressobj(-15).decompress(data[start : start + n], 16 * n)
-            if parsed is None:
+    """(headers, block) of the wanted records of a .warc.gz stream; wanted(headers) is asked before a block is inflated."""
+    raw = raw_pieces(stream)
+    while raw.fill(10):
+        length, size, start = own_length(raw)
+        if not length:
+            break
+        parsed, n = None, HEAD
+        while parsed is None:
+            raw.fill(min(length, start + n))
+            head = zlib.decompressobj(-15).decompress(raw.data[start : min(length, start + n)], 16 * n)
+            parsed = parse_head(head)
+            if parsed is None and n >= length:
                 raise ValueError("a record without headers")
-            if wanted(parsed[0]):
-                if not fill(length):
-                    raise ValueError("a record is cut off")
-                yield parsed[0], block_of(zlib.decompress(data[start : length - 8], -15), *parsed)
-            if len(data) < length:
-                stream.seek(length - len(data), 1)
-                data = b""
-            else:
-                data = data[length:]
-            continue
-        opener, parts = zlib.decompressobj(31), []
-        while not opener.eof:
-            if not data and not fill(1):
-                raise ValueError("a record is cut off")
-            parts.append(opener.decompress(data))
-            data = opener.unused_data if opener.eof else b""
-        whole = b"".join(parts)
-        if parsed := parse_head(whole):
-            if wanted(parsed[0]):
-                yield parsed[0], block_of(whole, *parsed)
+            n *= 4
+        headers, at = parsed
+        if (at + int(field(headers, "Content-Length")) + 4) & 0xFFFFFFFF != size:  # more than one record
+            break
+        if wanted(headers):
+            data = zlib.decompress(raw.take(length)[start:-8], -15)
+            yield headers, Pieces(lambda: b"", data[at:]).take(int(field(headers, "Content-Length")))
+        else:
+            raw.skip(length)
+    if raw.data:
+        yield from records(Pieces(inflated(stream, raw.data)), wanted)
 
 
 def plain_records(stream, wanted):
     """As members(), of an uncompressed .warc stream."""
-    data = b""
-    while True:
-        while (parsed := parse_head(data.lstrip(b"\r\n"))) is None:
-            more = stream.read(1 << 16)
-            if not more:
-                return
-            data += more
-        data = data.lstrip(b"\r\n")
-        headers, at = parsed
-        n = int(headers.get("Content-Length", 0))
-        if wanted(headers):
-            while len(data) < at + n:
-                more = stream.read(max(1 << 16, at + n - len(data)))
-                if not more:
-                    raise ValueError("a record is cut off")
-                data += more
-            yield headers, data[at : at + n]
-            data = data[at + n :]
-        elif len(data) >= at + n:
-            data = data[at + n :]
-        else:
-            stream.seek(at + n - len(data), 1)
-            data = b""
+    return records(raw_pieces(stream), wanted)
 
 
 class WarcReader(DataSourceReader):
@@ -211,7 +267,7 @@ class WarcReader(DataSourceReader):
 
     @staticmethod
     def value(headers: dict, name: str):
-        got = headers.get(_HEADER[name])
+        got = field(headers, _HEADER[name])
         if got is None:
             return None
         return got.removeprefix("sha1:") if name == "payload_digest" else got.strip("<>") if name in ("record_id", "refers_to") else got
@@ -222,7 +278,7 @@ class WarcReader(DataSourceReader):
     def row(self, headers: dict, block: bytes) -> tuple:
         got = [self.value(headers, k) for k in _HEADER]
         payload, size = block, len(block)
-        if "application/http" in headers.get("Content-Type", ""):
+        if "application/http" in field(headers, "Content-Type", ""):
             http, _, payload = block.partition(b"\r\n\r\n")
             named = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")[1:])}
             size = int(named.get(b"content-length", len(payload)))
@@ -326,10 +382,12 @@ def archive_pages(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, page_
     scratch = Scratch(spark, "warc")
     payload = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("target_uri"), payload.alias("payload"), F.sha1(payload).alias("sha1"))
-    # one small row for each payload, written, so that both sides of the join are plain and a hot payload's rows can be split
-    first = scratch.table(rows.groupBy("sha1").agg(F.max("page_id").alias("first")).select(F.col("sha1").alias("of"), "first"), "first")
-    joined = rows.join(first, rows["sha1"] == first["of"])
-    revisit = (F.length("payload") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first"))
+    # one small row for each payload that occurs twice or more
+    first = rows.groupBy("sha1").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("sha1").alias("of"), "first")
+    first = scratch.table(first, "first")
+    first = F.broadcast(first) if first.count() <= MOST_BROADCAST else first.hint("merge")
+    joined = rows.join(first, rows["sha1"] == first["of"], "left")
+    revisit = F.col("of").isNotNull() & (F.length("payload") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first"))
     name = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")))
     out = joined.select(F.when(revisit, "revisit").otherwise("response").alias("record_type"), name("page_id").alias("record_id"), "target_uri", F.when(revisit, name("first")).alias("refers_to"), "payload")
     out.write.format("warc").mode("append").save(path)
