@@ -140,3 +140,16 @@ def padded_crop(b: Box, width: float, height: float, padding: float = 0.2) -> Bo
     """The box widened by a share of its sides, cut to whole pixels, inside the image."""
     px, py = F.floor((b[2] - b[0]) * padding), F.floor((b[3] - b[1]) * padding)
     return clip((b[0] - px, b[1] - py, b[2] + px, b[3] + py), width, height)
+
+
+def rotated_hull(b: tuple, degrees: Column) -> Box:
+    """The upright box about a turned one (centre, width, height) of an angle against the clock."""
+    cx, cy, w, h = b
+    c, s = F.abs(F.cos(F.radians(degrees))), F.abs(F.sin(F.radians(degrees)))
+    half_w, half_h = (c * w + s * h) / 2, (s * w + c * h) / 2
+    return cx - half_w, cy - half_h, cx + half_w, cy + half_h
+
+
+def zoom_window(b: Box, width: float, height: float, factor: float = 2.0) -> Box:
+    """A window factor times as large as the box about its centre, inside the image."""
+    return clip(rescale_about_centre(b, factor), width, height)

@@ -142,3 +142,9 @@ def box_corners(centre: Column, size: Column, yaw: Column) -> Column:
 
 def metric_depth(depth: Column, focal: Column, reference: float = 300.0) -> Column:
     return depth * focal / reference
+
+
+def polygon_area(xs: list, ys: list) -> Column:
+    """Of the corners in order: half of the sum of the cross products of neighbours, without sign."""
+    n = len(xs)
+    return F.abs(sum((xs[i] * ys[(i + 1) % n] - xs[(i + 1) % n] * ys[i] for i in range(n)), F.lit(0.0))) / 2

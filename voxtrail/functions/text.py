@@ -61,3 +61,13 @@ def parse_scalar(s: str):
 def parse_settings(s: str) -> dict:
     """key=value, comma-separated."""
     return {k.strip(): parse_scalar(v) for k, v in (x.split("=", 1) for x in s.split(",") if "=" in x)}
+
+
+# Extensions by kind of input.
+VIDEO_PATHS, IMAGE_PATHS = r"\.(mp4|mov|avi|mkv|webm)$", r"\.(jpg|jpeg|png|bmp|webp|tif|tiff)$"
+
+
+def input_kind(path: Column) -> Column:
+    """video, image, colmap or unknown, from a path alone."""
+    low = F.lower(path)
+    return F.when(low.rlike(VIDEO_PATHS), "video").when(low.rlike(IMAGE_PATHS), "image").when(low.rlike(r"(cameras\.(bin|txt)|/sparse)$"), "colmap").otherwise("unknown")

@@ -1,4 +1,4 @@
-"""Aggregates of points, masks, pairs and votes. Percentiles are exact and interpolated."""
+"""Aggregates of points, masks, pairs and votes. Percentiles are exact and interpolated, from sorts that spill."""
 
 from __future__ import annotations
 
@@ -7,39 +7,44 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS
+from .order import quantiles, with_quantiles
 
 
 def shape_tokens(points: DataFrame, keys=("obj",), low: float = DEFAULTS.obb_percentile) -> DataFrame:
     """Count, and mean, population deviation and bounds of each axis: percentiles from 20 points on, else the extremes."""
-    cols = [F.count("*").alias("n")]
-    for c in "xyz":
-        p = F.percentile(c, F.array(F.lit(low), F.lit(1 - low)))
-        bound = lambda i, f, c=c, p=p: F.when(F.count("*") >= 20, p[i]).otherwise(f(c))
-        cols += [F.avg(c).alias(f"{c}_mu"), F.stddev_pop(c).alias(f"{c}_sigma"), bound(0, F.min).alias(f"{c}_min"), bound(1, F.max).alias(f"{c}_max")]
-    return points.groupBy(*keys).agg(*cols)
+    ends = {f"{c}_{end}": (c, q) for c in "xyz" for end, q in (("min", low), ("max", 1 - low))}
+    moments = [f(c).alias(f"{c}_{name}") for c in "xyz" for f, name in ((F.avg, "mu"), (F.stddev_pop, "sigma"), (F.min, "least"), (F.max, "most"))]
+    found = quantiles(points, keys, ends, F.count("*").alias("n"), *moments)
+    bound = lambda c, end, other: F.when(F.col("n") >= 20, F.col(f"{c}_{end}")).otherwise(F.col(f"{c}_{other}")).alias(f"{c}_{end}")
+    return found.select(*keys, "n", *[x for c in "xyz" for x in (F.col(f"{c}_mu"), F.col(f"{c}_sigma"), bound(c, "min", "least"), bound(c, "max", "most"))])
 
 
 def oriented_boxes(points: DataFrame, keys=("obj",), low: float = DEFAULTS.obb_percentile, least: int = 12) -> DataFrame:
-    """Boxes turned about the vertical axis: outliers beyond median + 2.5 * 1.4826 * MAD go where 30 points or more allow it, the yaw is that of the main axis in closed form (modulo pi), and bounds are percentiles in the turned frame. Keys of fewer than least points have no box."""
-    med = points.groupBy(*keys).agg(F.count("*").alias("__n"), *[F.percentile(c, F.lit(0.5)).alias(f"__m{c}") for c in "xyz"])
-    far = points.join(med, list(keys)).where(F.col("__n") >= least).withColumn("__d", F.sqrt(sum(((F.col(c) - F.col(f"__m{c}")) ** 2 for c in "xyz"), F.lit(0.0))))
-    mid = far.groupBy(*keys).agg(F.percentile("__d", F.lit(0.5)).alias("__md"))
-    spread = far.join(mid, list(keys))
-    mad = spread.groupBy(*keys).agg(F.percentile(F.abs(F.col("__d") - F.col("__md")), F.lit(0.5)).alias("__mad"))
-    marked = spread.join(mad, list(keys)).withColumn("__in", F.col("__d") <= F.col("__md") + 2.5 * 1.4826 * (F.col("__mad") + 1e-6))
-    counts = marked.groupBy(*keys).agg(F.sum(F.col("__in").cast("int")).alias("__k"))
-    kept = marked.join(counts, list(keys)).where((F.col("__n") < 30) | (F.col("__k") < least) | F.col("__in"))
-    yaw = kept.groupBy(*keys).agg(F.count("*").alias("n_points"), (-0.5 * F.atan2(2 * F.covar_samp("x", "z"), F.var_samp("x") - F.var_samp("z"))).alias("yaw"))
+    """Boxes turned about the vertical axis: outliers beyond median + 2.5 * 1.4826 * MAD go where 30 points or more allow it, the yaw is that of the main axis in closed form (modulo pi), and bounds are percentiles in the turned frame. Keys of fewer than least points have no box.
+
+    All medians, counts and moments are windows over one partitioning by key, so the points are shuffled once."""
+    key = W.partitionBy(*keys)
+    rows = points.select(*keys, "x", "y", "z").withColumn("__n", F.count("*").over(key)).where(F.col("__n") >= least)
+    rows = with_quantiles(rows, keys, {f"__m{c}": (c, 0.5) for c in "xyz"})
+    rows = rows.withColumn("__d", F.sqrt(sum(((F.col(c) - F.col(f"__m{c}")) ** 2 for c in "xyz"), F.lit(0.0))))
+    rows = with_quantiles(rows, keys, {"__md": ("__d", 0.5)}).withColumn("__off", F.abs(F.col("__d") - F.col("__md")))
+    rows = with_quantiles(rows, keys, {"__mad": ("__off", 0.5)})
+    rows = rows.withColumn("__in", F.col("__d") <= F.col("__md") + 2.5 * 1.4826 * (F.col("__mad") + 1e-6))
+    rows = rows.withColumn("__k", F.sum(F.col("__in").cast("int")).over(key)).where((F.col("__n") < 30) | (F.col("__k") < least) | F.col("__in"))
+    moments = {"n_points": F.count("*"), "__xz": F.covar_samp("x", "z"), "__xx": F.var_samp("x"), "__zz": F.var_samp("z")}
+    rows = rows.select(*keys, "x", "y", "z", *[f.over(key).alias(name) for name, f in moments.items()])
+    rows = rows.withColumn("yaw", -0.5 * F.atan2(2 * F.col("__xz"), F.col("__xx") - F.col("__zz")))
     c, s = F.cos("yaw"), F.sin("yaw")
-    turned = kept.join(yaw, list(keys)).withColumns({"__u": c * F.col("x") - s * F.col("z"), "__w": s * F.col("x") + c * F.col("z")})
-    bounds = []
-    for a, name in (("__u", "u"), ("y", "v"), ("__w", "w")):
-        p = F.percentile(a, F.array(F.lit(low), F.lit(1 - low)))
-        bounds += [F.when(F.count("*") >= 20, p[0]).otherwise(F.min(a)).alias(f"{name}0"), F.when(F.count("*") >= 20, p[1]).otherwise(F.max(a)).alias(f"{name}1")]
-    box = turned.groupBy(*keys, "yaw", "n_points").agg(*bounds)
+    turned = rows.withColumns({"u": c * F.col("x") - s * F.col("z"), "v": F.col("y"), "w": s * F.col("x") + c * F.col("z")})
+    ends = {f"{a}{i}": (a, q) for a in "uvw" for i, q in ((0, low), (1, 1 - low))}
+    extremes = [f(a).alias(f"{a}{name}") for a in "uvw" for f, name in ((F.min, "least"), (F.max, "most"))]
+    box = quantiles(turned, keys, ends, F.first("yaw").alias("yaw"), F.first("n_points").alias("n_points"), *extremes)
+    full = F.col("n_points") >= 20
+    box = box.withColumns({f"{a}{i}": F.when(full, F.col(f"{a}{i}")).otherwise(F.col(f"{a}{other}")) for a in "uvw" for i, other in ((0, "least"), (1, "most"))})
     mid_u, mid_w = (F.col("u0") + F.col("u1")) / 2, (F.col("w0") + F.col("w1")) / 2
     size = lambda n: F.greatest(F.col(f"{n}1") - F.col(f"{n}0"), F.lit(1e-4))
-    return box.select(*keys, "n_points", "yaw", (c * mid_u + s * mid_w).alias("cx"), ((F.col("v0") + F.col("v1")) / 2).alias("cy"), (-s * mid_u + c * mid_w).alias("cz"), size("u").alias("length"), size("v").alias("height"), size("w").alias("width"))
+    place = [(c * mid_u + s * mid_w).alias("cx"), ((F.col("v0") + F.col("v1")) / 2).alias("cy"), (-s * mid_u + c * mid_w).alias("cz")]
+    return box.select(*keys, "n_points", "yaw", *place, size("u").alias("length"), size("v").alias("height"), size("w").alias("width"))
 
 
 def voxels(points: DataFrame, size: float, keys=("obj",)) -> DataFrame:
@@ -78,14 +83,14 @@ def weighted_quantile(df: DataFrame, value: str, weight: str, q: float, keys=("o
 
 
 def confidence_threshold(df: DataFrame, conf: str, floor: float, low: float = 0.1, high: float = 0.9, keys=("obj",)) -> DataFrame:
-    p = F.percentile(conf, F.array(F.lit(low), F.lit(high)))
-    return df.groupBy(*keys).agg(F.least(F.greatest(F.lit(floor), p[0]), p[1]).alias("threshold"))
+    ends = quantiles(df, keys, {"__low": (conf, low), "__high": (conf, high)})
+    return ends.select(*keys, F.least(F.greatest(F.lit(floor), F.col("__low")), F.col("__high")).alias("threshold"))
 
 
 def scene_scale(points: DataFrame, keys=("obj",)) -> DataFrame:
     """The diagonal of the box of the 5th to 95th percentiles."""
-    span = lambda c: F.percentile(c, F.lit(0.95)) - F.percentile(c, F.lit(0.05))
-    return points.groupBy(*keys).agg(F.sqrt(sum((span(c) ** 2 for c in "xyz"), F.lit(0.0))).alias("scale"))
+    ends = quantiles(points, keys, {f"__{c}{q}": (c, q / 100) for c in "xyz" for q in (5, 95)})
+    return ends.select(*keys, F.sqrt(sum(((F.col(f"__{c}95") - F.col(f"__{c}5")) ** 2 for c in "xyz"), F.lit(0.0))).alias("scale"))
 
 
 def min_max_reference(df: DataFrame, columns, key: str, keys=("label",)) -> DataFrame:
@@ -114,3 +119,8 @@ def colour_histogram(df: DataFrame, columns: dict, keys=("obj",)) -> DataFrame:
         offset += n
     assert offset == total
     return df.groupBy(*keys).agg(F.array(*parts).alias("hist"))
+
+
+def step_tokens(df: DataFrame, keys, time: str = "ts_s") -> DataFrame:
+    """First and last time of each step."""
+    return df.groupBy(*keys).agg(F.min(time).alias("t_start"), F.max(time).alias("t_end"))

@@ -35,6 +35,11 @@ def low_texture(std: Column, edges: Column) -> Column:
     return (std < DEFAULTS.texture_std) & (edges < DEFAULTS.texture_edges)
 
 
+def uniform_crop(std: Column) -> Column:
+    """A crop whose pixels hardly differ."""
+    return std < DEFAULTS.crop_std
+
+
 def keep_n_queries(queries: DataFrame, n: int, keys=("image_id",), negative: str = "is_negative", seed: int = 0) -> DataFrame:
     """Up to n rows of each key, positives first, then in an order hashed from the seed."""
     order = W.partitionBy(*keys).orderBy(F.col(negative).cast("int"), F.md5(F.concat(F.lit(f"{seed}:"), F.col("query_id").cast("string"))), "query_id")

@@ -12,11 +12,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """checkpoint() in the folder that spark.checkpoint.dir names; our own where it is unset."""
     spark: SparkSession = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        path = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="voxtrail-")
-        spark.sparkContext.setCheckpointDir(path)
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where it is unset a folder of the warehouse, or, if driver and executors are one process, a temporary one."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        return path.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return "file://" + tempfile.mkdtemp(prefix="voxtrail-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_voxtrail"
+
+
 def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """(id, label): the least id reachable over edges (a, b); ids of nodes without edges keep their own."""
     both = checkpointed(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS
 from ..functions import vectors as V
+from .order import numbered
+
+#: Vectors in one block of a similarity join.
+BLOCK = 512
 
 
 def shared_frame_pairs(obs: DataFrame, keys=(), frame: str = "frame_idx") -> DataFrame:
@@ -45,21 +51,29 @@ def relink(tracks: DataFrame, gap: float = DEFAULTS.relink_gap_s, jump: float =
     return a.join(b, "__bucket").where(ok).select(F.col("a_track_id").alias("a"), F.col("b_track_id").alias("b"), wait.alias("gap_s")).distinct()
 
 
-def similar_pairs(vectors: DataFrame, threshold: float, key: str = "id", vector: str = "vec", block: str | None = None, blocks: int = 16) -> DataFrame:
-    """(a, b, cosine), a < b, of cosine threshold or more; exact.
+def similar_pairs(vectors: DataFrame, threshold: float, key: str = "id", vector: str = "vec", block: str | None = None) -> DataFrame:
+    """(a, b, cosine), a < b, of cosine threshold or more; exact. Vectors without length, and null ones, have no pairs.
+
+    Rows are dealt to blocks of about BLOCK rows by hash, and each pair of blocks is one matrix product: a row is sent once for each block, and a task holds two blocks, however many rows there are. With block, only rows of equal block are compared, dealt to blocks of their own."""
+    group = F.col(block) if block else F.lit(0)
+    rows = vectors.select(group.alias("g"), F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v is not null")
+    sizes = rows.groupBy(F.col("g").alias("of")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    sent = rows.join(sizes, F.col("g").eqNullSafe(F.col("of"))).select("g", "id", "v", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    sent = sent.select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "v")
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, own = table.column("id").to_numpy(), table.column("own").to_numpy()
+        m = np.array(table.column("v").to_pylist(), float).reshape(len(ids), -1)
+        n = np.sqrt((m * m).sum(1))
+        first, second = (own == table.column(c)[0].as_py() for c in ("i", "j"))
+        a, b = ids[first], ids[second]
+        cos = (m[first] @ m[second].T) / np.maximum(n[first][:, None] * n[second][None], 1e-300)
+        same = table.column("i")[0] == table.column("j")[0]
+        x, y = np.nonzero((cos >= threshold) & (n[first] > 0)[:, None] & (n[second] > 0)[None] & ((a[:, None] < b[None]) if same else True))
+        return pa.table({"a": np.minimum(a[x], b[y]), "b": np.maximum(a[x], b[y]), "cosine": cos[x, y]})
 
-    Rows are dealt to blocks by hash and each pair of blocks meets once: a row is sent to as many places as there are blocks, and a task holds two blocks. With block, only rows of equal block are compared."""
-    rows = vectors.select(F.col(key).alias("id"), F.col(vector).alias("v"), *([F.col(block).alias("__g")] if block else []))
-    rows = rows.withColumn("n", V.norm(F.col("v"))).where("n > 0")
-    g = ["__g"] if block else []
-    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    sent = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    sent = sent.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    a, b = sent.alias("a"), sent.alias("b")
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("i", "j", *g)]
-    once = (F.col("a.i") != F.col("a.j")) & (F.col("a.own") == F.col("a.i")) & (F.col("b.own") == F.col("b.j")) | (F.col("a.i") == F.col("a.j")) & (F.col("a.id") < F.col("b.id"))
-    cos = V.dot(F.col("a.v"), F.col("b.v")) / (F.col("a.n") * F.col("b.n"))
-    return a.join(b, on).where(once).select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"), cos.alias("cosine")).where(F.col("cosine") >= threshold)
+    return sent.groupBy("g", "i", "j").applyInArrow(run, "a long, b long, cosine double")
 
 
 def loop_closures(vectors: DataFrame, k: int = 5, threshold: float = DEFAULTS.loop_similarity, gap: int = DEFAULTS.loop_gap, key: str = "id", vector: str = "vec") -> DataFrame:
@@ -86,11 +100,16 @@ def nearest(query: DataFrame, target: DataFrame, radius: float, keys=(), qid: st
     return query.select(*keys, qid).distinct().join(best, [*keys, qid], "left").select(*keys, qid, F.col("b.near").alias("near"), F.col("b.distance").alias("distance"))
 
 
-def chunk_of(points: DataFrame, chunks: DataFrame, key: str = "idx") -> DataFrame:
-    """Each index with the chunk it lies in: of overlapping ones that with the latest start. Rows outside of all go."""
-    on = (F.col(key) >= F.col("start")) & (F.col(key) < F.col("stop"))
-    hit = points.join(chunks, on)
-    return hit.groupBy(*points.columns).agg(F.max_by("chunk", "start").alias("chunk"))
+def chunk_of(points: DataFrame, chunks: DataFrame, key: str = "idx", width: int = 64) -> DataFrame:
+    """Each row with the chunk its index lies in: of overlapping ones that with the latest start. Rows outside of all go, repeated rows stay.
+
+    An equi-join on buckets of width indexes: a chunk is sent to the buckets that it reaches, and each index is looked up once."""
+    bucket = lambda c: F.floor(c / width)
+    reach = chunks.withColumn("__bucket", F.explode(F.sequence(bucket(F.col("start")), bucket(F.col("stop") - 1)))).where("stop > start")
+    places = points.select(F.col(key).alias("__at")).distinct().withColumn("__bucket", bucket(F.col("__at")))
+    hit = places.join(reach, "__bucket").where("__at >= start and __at < stop")
+    found = hit.groupBy("__at").agg(F.max_by("chunk", "start").alias("chunk"))
+    return points.join(found, points[key] == found["__at"]).drop("__at")
 
 
 def loop_window(idx: Column, start: Column, stop: Column, half: int = 10) -> tuple[Column, Column]:
@@ -113,8 +132,8 @@ def first_shard(df: DataFrame, keys, shard: str = "shard") -> DataFrame:
 
 
 def dense_ids(df: DataFrame, column: str, new: str) -> DataFrame:
-    """(column, new): ids from 1 in order of the values, by counts of hash-free ranges: one row for each value goes to one task."""
-    return df.select(column).distinct().withColumn(new, F.row_number().over(W.orderBy(column)))
+    """(column, new): ids from 1 in order of the values, nulls first."""
+    return numbered(df.select(column).distinct(), [column], new)
 
 
 def reindexed(parent: DataFrame, child: DataFrame, key: str, foreign: str) -> tuple[DataFrame, DataFrame]:
@@ -125,11 +144,12 @@ def reindexed(parent: DataFrame, child: DataFrame, key: str, foreign: str) -> tu
 
 
 def unique_track_ids(df: DataFrame, track: str = "track_id", video: str = "video") -> DataFrame:
-    """Ids that several videos use get fresh ones, one for each (id, video), after the largest."""
+    """Ids that several videos use get fresh ones, one for each (id, video) in their order, after the largest."""
     pairs = df.select(track, video).distinct()
-    shared = pairs.withColumn("__n", F.count("*").over(W.partitionBy(track))).where("__n > 1").withColumn("__k", F.row_number().over(W.orderBy(track, video)))
-    most = df.agg(F.max(track).alias("__most"))
-    fresh = shared.crossJoin(F.broadcast(most)).select(track, video, (F.col("__most") + F.col("__k")).alias("__new"))
+    shared = pairs.groupBy(track).agg(F.count("*").alias("__n")).where("__n > 1").select(track)
+    fresh = numbered(pairs.join(shared, track, "left_semi"), [track, video], "__k")
+    most = df.agg(F.max(track).alias("__most"))  # one row
+    fresh = fresh.crossJoin(F.broadcast(most)).select(track, video, (F.col("__most") + F.col("__k")).alias("__new"))
     return df.join(fresh, [track, video], "left").withColumn(track, F.coalesce("__new", track)).drop("__new")
 
 
@@ -143,3 +163,10 @@ def merge_observations(obs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = obs.join(named.join(root, "__label").select("track_id", "__n", "root"), "track_id")
     order = W.partitionBy("root", "frame_idx").orderBy((F.col("track_id") != F.col("root")).cast("int"), F.desc("__n"), "track_id")
     return rows.withColumn("__k", F.row_number().over(order)).where("__k = 1").drop("__k", "__n")
+
+
+def frame_inputs(detections: DataFrame, depth: DataFrame, poses: DataFrame, frame: str = "frame_idx") -> DataFrame:
+    """A row for each frame that has a depth: its detections in order of id, its depth, and its pose (null without)."""
+    packed = detections.groupBy(frame).agg(F.array_sort(F.collect_list(F.struct("track_id", "score"))).alias("detections"))
+    joined = depth.join(packed, frame, "left").join(poses, frame, "left")
+    return joined.withColumn("n", F.coalesce(F.size("detections"), F.lit(0)))

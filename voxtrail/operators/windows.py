@@ -81,13 +81,38 @@ def box_filter(df: DataFrame, column: str, keys=("track_id",), order=("frame_idx
     return df.withColumn(column + "_f", (F.coalesce(F.lag(column).over(o), F.lit(0.0)) + F.col(column) + F.coalesce(F.lead(column).over(o), F.lit(0.0))) / 3)
 
 
+# Halves of the kernels of 1, 3, 5 and 7 rows, from the middle on.
+SMALL_KERNELS = ((1.0,), (0.5, 0.25), (0.375, 0.25, 0.0625), (0.28125, 0.21875, 0.109375, 0.03125))
+
+
 def gaussian_path(df: DataFrame, column: str, size: int = 45, keys=("track_id",), order=("frame_idx",)) -> DataFrame:
-    """A path smoothed with an odd Gaussian kernel; weights beyond the ends are left out."""
-    half, sigma = size // 2, size / 6
-    o = by(keys, order)
-    parts = [(math.exp(-0.5 * (k / sigma) ** 2), F.lag(column, -k).over(o) if k else F.col(column)) for k in range(-half, half + 1)]
-    weight = sum((F.when(v.isNotNull(), w).otherwise(0.0) for w, v in parts), F.lit(0.0))
-    return df.withColumn(column + "_g", sum((F.coalesce(v * w, F.lit(0.0)) for w, v in parts), F.lit(0.0)) / weight)
+    """A path smoothed with a Gaussian kernel of an odd size, no longer than the path (3 at least where it has 3 rows), and of deviation 0.3 * ((size - 1) / 2 - 1) + 0.8 from 9 rows on (SMALL_KERNELS below); beyond its ends the path is reflected about the first and last row. Paths of one row stay as they are.
+
+    The kernel's size depends on the path, so its weights are expressions; a window of each side holds what the kernel can reach, reflection included."""
+    size = max(1, size) | 1
+    half = size // 2
+    w = W.partitionBy(*keys).orderBy(*order)
+    n, place = F.count("*").over(W.partitionBy(*keys)), F.row_number().over(w)
+    odd = F.when(F.col("__n") % 2 == 1, F.col("__n")).otherwise(F.col("__n") - 1)
+    k = F.least(F.lit(size), F.greatest(odd, F.lit(1)))
+    k = F.when((F.col("__n") >= 3) & (k < 3), 3).otherwise(k)
+    near = F.collect_list(F.col(column).cast("double")).over(w.rowsBetween(-half, half))
+    # the window starts at row max(1, place - half), and a reflected row is no farther than half
+    rows = df.withColumns({"__n": n, "__place": place}).withColumns({"__near": near, "__half": F.floor(k / 2).cast("int")})
+    sigma = 0.3 * (F.col("__half") - 1) + 0.8
+    start = F.greatest(F.lit(1), F.col("__place") - half)
+
+    def reflected(i: Column) -> Column:
+        at = F.col("__place") + i
+        at = F.when(at < 1, 2 - at).otherwise(F.when(at > F.col("__n"), 2 * F.col("__n") - at).otherwise(at))
+        return F.element_at("__near", (at - start + 1).cast("int"))
+
+    steps = F.sequence(-F.col("__half"), F.col("__half"))
+    small = F.element_at(F.array(*[F.array(*map(F.lit, k)) for k in SMALL_KERNELS]), F.least(F.col("__half") + 1, F.lit(len(SMALL_KERNELS))))
+    weight = lambda i: F.when(F.col("__half") < len(SMALL_KERNELS), F.element_at(small, F.least(F.abs(i), F.size(small) - 1) + 1)).otherwise(F.exp(-(i * i) / (2 * sigma * sigma)))
+    total = lambda f: F.aggregate(F.transform(steps, f), F.lit(0.0), lambda s, x: s + x)
+    smooth = total(lambda i: weight(i) * reflected(i)) / total(weight)
+    return rows.withColumn(column + "_g", F.when(F.col("__n") <= 1, F.col(column).cast("double")).otherwise(smooth)).drop("__n", "__place", "__near", "__half")
 
 
 def camera_motion(df: DataFrame, keys=("track_id",), order: str = "frame_idx") -> DataFrame:

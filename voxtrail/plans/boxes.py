@@ -50,19 +50,16 @@ def _best_per_key(b):
 
 
 def _track_nms(b):
-    rows = b.where("grp <= 8000")
-    scores = rows.groupBy("video", "id").agg(F.round(F.avg("score"), 9).alias("score"))
-    return nms.track_nms(rows, scores, 0.05)
+    scores = b.groupBy("video", "id").agg(F.round(F.avg("score"), 9).alias("score"))
+    return nms.track_nms(b, scores, 0.05)
 
 
 def _matches(g, p):
-    m = matching.optimal_matches(g, p)
-    return m.groupBy("grp").agg(F.count("*").alias("n"))
+    return matching.optimal_matches(g, p).select("grp", "gt_id", "pred_id", R("iou").alias("iou"))
 
 
 def _associate(g, p):
-    m = matching.associate(p, g)
-    return m.groupBy("grp", "kind").agg(F.count("*").alias("n"))
+    return matching.associate(p, g)
 
 
 def _greedy_pairs(g, p):
@@ -87,7 +84,7 @@ QUERIES = {
     "frame_nms": BOX(lambda b: nms.frame_nms(b, threshold=0.3).select(*IDS, "x0", "y0", "x1", "y1")),
     "pooled_track_iou": BOX(lambda b: nms.track_pairs(b).select("video", "a", "b", "shared", R(F.col("inter") / F.col("whole")).alias("iou"), R(F.col("inter") / F.col("least")).alias("iom"))),
     "track_nms": BOX(_track_nms),
-    "anchor_dedup": BOX(lambda b: nms.anchor_dedup(b, keys=("grp",)).groupBy("grp").agg(F.count("*").alias("n_objects"), F.sum("n").alias("n_boxes"))),
+    "anchor_dedup": BOX(lambda b: nms.anchor_dedup(b, keys=("grp",)).select("grp", "object", "first_id", "n", "x0", "y0", "x1", "y1")),
     "top_k_per_image": BOX(_top_k),
     "detector_filter": BOX(_detector),
     "best_per_key": BOX(_best_per_key),
@@ -145,7 +142,7 @@ SELECT grp, id, w * h AS area, a0 AS clip0, a1 AS clip1, a2 AS clip2, a3 AS clip
     "overlap_removal": f"{_Q}, {_greedy('score DESC, id', _iom('r', 'k') + ' > 0.3')} SELECT b.grp, b.id, s.id IS NOT NULL AS kept FROM box b LEFT JOIN stay s ON b.grp = s.grp AND b.id = s.id",
     "frame_nms": f"{_D} SELECT b.grp, b.id, {', '.join(f'CASE WHEN s.id IS NOT NULL THEN {c} END AS {c}' for c in ('x0', 'y0', 'x1', 'y1'))} FROM box b LEFT JOIN stay s ON b.grp = s.grp AND b.id = s.id",
     "pooled_track_iou": f"{_Q} SELECT a.video, a.id AS a, b.id AS b, count(*) AS shared, round(sum({_inter()}) / sum({_area('a')} + {_area('b')} - {_inter()}), 6) AS iou, round(sum({_inter()}) / sum(least({_area('a')}, {_area('b')})), 6) AS iom FROM box a JOIN box b ON a.video = b.video AND a.grp = b.grp AND a.id < b.id GROUP BY ALL",
-    "track_nms": f"""{_Q}, b8 AS (SELECT * FROM box WHERE grp <= 8000), sc AS (SELECT video, id, round(avg(score), 9) AS score FROM b8 GROUP BY ALL),
+    "track_nms": f"""{_Q}, b8 AS (SELECT * FROM box), sc AS (SELECT video, id, round(avg(score), 9) AS score FROM b8 GROUP BY ALL),
 pr AS (SELECT a.video, a.id AS a, b.id AS b FROM b8 a JOIN b8 b ON a.video = b.video AND a.grp = b.grp AND a.id < b.id GROUP BY ALL HAVING sum({_inter()}) / sum({_area('a')} + {_area('b')} - {_inter()}) >= 0.05),
 both_ AS (SELECT video, a, b FROM pr UNION ALL SELECT video, b, a FROM pr), rk AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY video ORDER BY score DESC, id) AS rk FROM sc),
 full_ AS MATERIALIZED (SELECT r.video, r.rk, r.id, coalesce((SELECT list(b.b) FROM both_ b WHERE b.video = r.video AND b.a = r.id), []) AS ks FROM rk r),

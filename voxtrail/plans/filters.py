@@ -1,12 +1,13 @@
 """Queries of filters, samples, masks, exports and streams."""
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..adapters import CTES, boxes, observations, points, predictions, table, truth
 from ..functions import masks as M
 from ..operators import aggregates, filters, windows
+from ..operators.graph import shared_dir
 from ..sources import writers
 from ..streaming import tracks as streams
 
@@ -27,7 +28,6 @@ def _zero(b):
 
 
 def _compacted(b):
-    b = b.where("grp <= 2000")
     objects = b.select(F.col("grp").alias("image_id"), (F.col("grp") * 10 + F.col("id")).alias("object_id"))
     queries = b.where("id % 2 = 0").select(F.col("grp").alias("image_id"), (F.col("grp") * 10 + F.col("id")).alias("query_id"))
     refs = b.select((F.col("grp") * 10 + F.col("id")).alias("query_id"), (F.col("grp") * 10 + F.col("id")).alias("object_id"))
@@ -54,7 +54,6 @@ def _rle(b):
 
 
 def _mask_iou(b):
-    b = b.where("grp <= 300")
     x0, y0, x1, y1 = (F.least(F.col(c), F.lit(64)).cast("int") for c in ("x0", "y0", "x1", "y1"))
     h, w = y1 - y0, x1 - x0
     runs = F.flatten(F.transform(F.sequence(F.lit(1), w), lambda i: F.array(h, 64 - h)))
@@ -76,7 +75,6 @@ def _merged(b):
 
 
 def _video_frames(o):
-    o = o.where("track_id < 40")
     tracks = o.groupBy(F.col("track_id").alias("id")).agg(F.lit(1).alias("video_id"), F.lit(1).alias("category_id"), F.transform(F.array_sort(F.collect_list(F.struct("frame_idx", "x", "yaw"))), lambda s: F.when(s["yaw"].isNotNull(), F.array(s["x"], s["x"], F.lit(1.0), F.lit(1.0)))).alias("bboxes"))
     images = o.select("frame_idx").distinct().select((F.col("frame_idx") + 1000).alias("image_id"), F.lit(1).alias("video_id"), F.col("frame_idx").alias("frame_index"))
     return writers.video_to_frames(tracks, images).select("track_id", "image_id", F.col("bbox")[0].alias("x"))
@@ -84,8 +82,8 @@ def _video_frames(o):
 
 def _stream_states(spark, sf_dir):
     obs = observations(spark, sf_dir).where("event_id % 4 <> 0").select("track_id", "frame_idx")
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp(prefix='voxtrail-')}/stream-{abs(hash(sf_dir))}"
-    obs.write.mode("overwrite").parquet(path)
+    path = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    obs.write.parquet(path)
     return streams.run_once(streams.track_states(spark.readStream.schema(obs.schema).parquet(path)), "stream_states")
 
 
@@ -125,7 +123,7 @@ ORACLE = {
     "low_score_objects": f"{_Q} SELECT track_id, frame_idx FROM obs WHERE track_id IN (SELECT track_id FROM obs GROUP BY track_id HAVING max(score) >= 0.985)",
     "keep_n_queries": f"{_Q}, q AS (SELECT grp AS image_id, grp * 10 + id AS query_id, score < 0.5 AS neg FROM box), n AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY CAST(neg AS INT), md5('0:' || query_id), query_id) AS n FROM q) SELECT image_id, query_id FROM n WHERE n <= 2",
     "zero_box_queries": f"{_Q} SELECT grp * 10 + id % 2 AS query_id FROM box GROUP BY grp, id % 2 HAVING count(*) <= 2 AND count(*) FILTER (WHERE id = 3) = 0",
-    "compacted_ids": f"{_Q} SELECT grp AS image_id, CAST(dense_rank() OVER (PARTITION BY grp ORDER BY id) - 1 AS INT) AS object_id FROM box WHERE grp <= 2000 AND id % 2 = 0",
+    "compacted_ids": f"{_Q} SELECT grp AS image_id, CAST(dense_rank() OVER (PARTITION BY grp ORDER BY id) - 1 AS INT) AS object_id FROM box WHERE id % 2 = 0",
     "discoveries": f"""{_Q}, n AS (SELECT a.grp, a.id, row_number() OVER (PARTITION BY a.grp ORDER BY (a.x1 - a.x0) * (a.y1 - a.y0) DESC, a.id) AS n FROM gt a WHERE a.grp % 5 = 0 AND (a.x1 - a.x0) * (a.y1 - a.y0) / 4096 >= 0.02
  AND NOT EXISTS (SELECT 1 FROM pred b WHERE b.id % 2 = 0 AND b.grp = a.grp AND {_I} / ((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - {_I}) >= 0.3)) SELECT grp AS frame_idx, id FROM n WHERE n <= 2""",
     "sampled_rows": f"{_Q}, n AS (SELECT track_id, event_id, row_number() OVER (PARTITION BY track_id ORDER BY md5('42:' || event_id), event_id) AS n FROM obs) SELECT track_id, event_id FROM n WHERE n <= 5",
@@ -133,10 +131,10 @@ ORACLE = {
     "closest_frames": f"""{_Q}, r AS (SELECT track_id, frame_idx, CASE WHEN frame_idx = min(frame_idx) OVER p THEN 0 WHEN frame_idx = max(frame_idx) FILTER (WHERE frame_idx < 20) OVER p THEN 1 WHEN frame_idx = min(frame_idx) FILTER (WHERE frame_idx >= 20) OVER p THEN 2 ELSE 3 END AS r FROM obs WINDOW p AS (PARTITION BY track_id)),
 n AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY r, abs(frame_idx - 20), frame_idx) AS n FROM r) SELECT track_id, frame_idx FROM n WHERE n <= 6""",
     "mask_area": f"{_Q}, {_CLIP} SELECT grp, id, CAST((x1 - x0) * (y1 - y0) AS INT) AS area FROM cl",
-    "mask_iou": f"{_Q}, {_CLIP} SELECT a.grp, a.id AS a, b.id AS b, round({_I} / ((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - {_I}), 6) AS iou FROM cl a JOIN cl b ON a.grp = b.grp AND a.id < b.id WHERE a.grp <= 300",
+    "mask_iou": f"{_Q}, {_CLIP} SELECT a.grp, a.id AS a, b.id AS b, round({_I} / ((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - {_I}), 6) AS iou FROM cl a JOIN cl b ON a.grp = b.grp AND a.id < b.id",
     "detection_rows": f"{_Q} SELECT grp AS image_id, id AS category_id, x0 AS x, y0 AS y, x1 - x0 AS w, y1 - y0 AS h, score FROM box",
     "merged_shards": f"{_Q}, s AS (SELECT grp, id % 2 AS cat, id % 3 AS sh, score, id, min(id % 3) OVER (PARTITION BY grp, id % 2) AS f FROM box), n AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY score DESC, cat, id) AS n FROM s WHERE sh = f) SELECT grp AS image_id, cat AS category_id, id AS pos FROM n WHERE n <= 2",
-    "video_to_frames": f"{_Q} SELECT track_id, CAST(frame_idx + 1000 AS INT) AS image_id, x FROM obs WHERE track_id < 40 AND yaw IS NOT NULL",
+    "video_to_frames": f"{_Q} SELECT track_id, CAST(frame_idx + 1000 AS INT) AS image_id, x FROM obs WHERE yaw IS NOT NULL",
     "stream_track_states": f"""{_Q}, g AS (SELECT track_id, frame_idx, frame_idx - lag(frame_idx) OVER o - 1 AS gap FROM obs WHERE event_id % 4 <> 0 WINDOW o AS (PARTITION BY track_id ORDER BY frame_idx)),
 r AS (SELECT *, sum(CAST(coalesce(gap, 1) > 0 AS INT)) OVER (PARTITION BY track_id ORDER BY frame_idx) AS grp FROM g), l AS (SELECT *, row_number() OVER (PARTITION BY track_id, grp ORDER BY frame_idx) AS run FROM r)
 SELECT track_id, frame_idx, CASE WHEN coalesce(gap, 0) >= 5 THEN 'lost' ELSE 'active' END AS status, CAST(coalesce(gap, 0) AS INT) AS missing_streak, CAST(run AS INT) AS run_length, max(run) OVER (PARTITION BY track_id ORDER BY frame_idx) >= 3 AS is_confirmed FROM l""",

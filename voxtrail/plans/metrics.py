@@ -61,7 +61,7 @@ def _directions(p):
 
 
 def _patches(p):
-    px = p.where("obj <= 30").select("obj", (F.col("x") * 1).cast("int").alias("u"), (F.col("z") * 5 - 10).cast("int").alias("v")).distinct()
+    px = p.select("obj", (F.col("x") * 1).cast("int").alias("u"), (F.col("z") * 5 - 10).cast("int").alias("v")).distinct()
     return aggregates.patch_grid(px, 53, 51, keys=("obj",), grid=8, coverage=0.1).select("obj", "row", "col", F.round("cover", 4).alias("cover"))
 
 
@@ -93,8 +93,8 @@ QUERIES = {
     "average_precision": TWO(lambda g, p: rounded(metrics.average_precision(g, p), ("cat", "iou"))),
     "tracklet_iou": TWO(lambda g, p: rounded(metrics.tracklet_iou(g, p), ("video",))),
     "pose_auc": PTS(lambda p: rounded(metrics.pose_auc(p.withColumn("error", F.col("z") * 2.5), most=30, keys=("obj",)), ("obj",))),
-    "pose_errors": PTS(lambda p: _poses(p.where("obj <= 20")).select("obj", "pid", F.round("error", 2).alias("error"))),
-    "reconstruction": PTS(lambda p: rounded(metrics.reconstruction(p.where("obj <= 5 and pid % 3 <> 0"), p.where("obj <= 5 and pid % 3 = 0"), 1.0, 3.0, keys=("obj",)), ("obj",))),
+    "pose_errors": PTS(lambda p: _poses(p).select("obj", "pid", F.round("error", 2).alias("error"))),
+    "reconstruction": PTS(lambda p: rounded(metrics.reconstruction(p.where("pid % 3 <> 0"), p.where("pid % 3 = 0"), 1.0, 3.0, keys=("obj",)), ("obj",))),
     "similarity_fit": PTS(lambda p: alignment.guarded(alignment.similarity(_matched(p), weight="conf")).select("obj", "n", F.round("s", 4).alias("s"), *[F.round(F.element_at("t", i), 2).alias(f"t{i}") for i in (1, 2, 3)])),
     "robust_similarity": PTS(lambda p: rounded(alignment.alignment_error(_matched(p), alignment.robust_similarity(_matched(p))), ("obj",))),
     "consensus_scale": PTS(lambda p: rounded(alignment.consensus_scale(_chunks(p)), ("obj",), 6)),
@@ -132,15 +132,15 @@ SELECT obj, n_points, round(yaw, 4) AS yaw, round(cos(yaw) * (u0 + u1) / 2 + sin
     "confidence_threshold": f"{_Q} SELECT obj, round(least(greatest(0.5, quantile_cont(conf, 0.1)), quantile_cont(conf, 0.9)), 4) AS threshold FROM pts GROUP BY obj",
     "scene_scale": f"{_Q} SELECT obj, round(sqrt({' + '.join(f'(quantile_cont({c}, 0.95) - quantile_cont({c}, 0.05)) ** 2' for c in 'xyz')}), 4) AS scale FROM pts GROUP BY obj",
     "min_max_reference": "WITH e AS (SELECT vec_id, label, round(sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE))), 6) AS n, round(embedding[1]::DOUBLE, 6) AS f FROM embeddings), o AS (SELECT vec_id, label, round(abs(coalesce((n - min(n) OVER g) / nullif(max(n) OVER g - min(n) OVER g, 0), 0) - 0.5) + abs(coalesce((f - min(f) OVER g) / nullif(max(f) OVER g - min(f) OVER g, 0), 0) - 0.5), 9) AS o FROM e WINDOW g AS (PARTITION BY label)) SELECT label, arg_min(vec_id, (o, vec_id)) AS vec_id FROM o GROUP BY label",
-    "patch_grid": f"{_Q}, px AS (SELECT DISTINCT obj, CAST(trunc(x) AS INT) AS u, CAST(trunc(z * 5 - 10) AS INT) AS v FROM pts WHERE obj <= 30), c AS (SELECT obj, CAST(least(floor(v / 6), 7) AS BIGINT) AS row, CAST(least(floor(u / 6), 7) AS BIGINT) AS col, count(*) AS n FROM px GROUP BY ALL), a AS (SELECT *, n / ((CASE WHEN row = 7 THEN 11 ELSE 6 END) * (CASE WHEN col = 7 THEN 9 ELSE 6 END)) AS cover FROM c) SELECT obj, row, col, round(cover, 4) AS cover FROM a WHERE cover > 0.1",
+    "patch_grid": f"{_Q}, px AS (SELECT DISTINCT obj, CAST(trunc(x) AS INT) AS u, CAST(trunc(z * 5 - 10) AS INT) AS v FROM pts), c AS (SELECT obj, CAST(least(floor(v / 6), 7) AS BIGINT) AS row, CAST(least(floor(u / 6), 7) AS BIGINT) AS col, count(*) AS n FROM px GROUP BY ALL), a AS (SELECT *, n / ((CASE WHEN row = 7 THEN 11 ELSE 6 END) * (CASE WHEN col = 7 THEN 9 ELSE 6 END)) AS cover FROM c) SELECT obj, row, col, round(cover, 4) AS cover FROM a WHERE cover > 0.1",
     "histogram_bins": f"""{_Q}, b AS (SELECT obj, least(greatest(floor(x / 50 * 8), 0), 7) AS k FROM pts UNION ALL SELECT obj, 8 + least(greatest(floor(y / 14 * 8), 0), 7) FROM pts UNION ALL SELECT obj, 16 + least(greatest(floor(conf * 4), 0), 3) FROM pts),
 n AS (SELECT obj, count(*) AS n FROM b GROUP BY obj), g AS (SELECT obj, n, CAST(unnest(range(0, 20)) AS INT) AS bin FROM n) SELECT g.obj, g.bin, round(count(b.k) / any_value(g.n), 6) AS share FROM g LEFT JOIN b ON b.obj = g.obj AND b.k = g.bin GROUP BY g.obj, g.bin""",
     "track_counts": f"{_Q} SELECT video, count(*) AS dets, count(DISTINCT id) AS ids, count(DISTINCT grp) AS frames FROM pred GROUP BY video",
     "tracklet_iou": f"""{_Q}, i AS (SELECT g.video, g.id AS gt_id, p.id AS pred_id, sum({_INTER}) AS i FROM gt g JOIN pred p ON g.video = p.video AND g.grp = p.grp GROUP BY ALL), ga AS (SELECT video, id, sum((x1 - x0) * (y1 - y0)) AS a FROM gt GROUP BY ALL), pa AS (SELECT video, id, sum((x1 - x0) * (y1 - y0)) AS a FROM pred GROUP BY ALL)
 SELECT i.video, gt_id, pred_id, round(i / (ga.a + pa.a - i), 4) AS iou FROM i JOIN ga ON ga.video = i.video AND ga.id = gt_id JOIN pa ON pa.video = i.video AND pa.id = pred_id""",
     "pose_auc": f"{_Q} SELECT obj, round(avg(CASE WHEN z * 2.5e0 <= 30 THEN (30 - least(floor(z * 2.5e0), 29)) / 30 ELSE 0 END), 4) AS auc FROM pts GROUP BY obj",
-    "pose_errors": f"{_Q}, e AS (SELECT obj, pid, degrees(acos(least(1, greatest(-1, cos(y / 7 - conf))))) AS r, degrees(acos(least(1, greatest(-1, (2 * x * z + y * y) / (x * x + y * y + z * z))))) AS t FROM pts WHERE obj <= 20) SELECT obj, pid, round(greatest(r, least(t, 180 - t)), 2) AS error FROM e",
-    "reconstruction": f"""{_Q}, a AS (SELECT DISTINCT obj, pid FROM pts WHERE obj <= 5), d AS (SELECT q.obj, q.pid, q.pid % 3 <> 0 AS is_pred, coalesce(min(sqrt((q.x - t.x) ** 2 + (q.y - t.y) ** 2 + (q.z - t.z) ** 2)), 3) AS d FROM pts q LEFT JOIN pts t ON t.obj = q.obj AND (t.pid % 3 <> 0) <> (q.pid % 3 <> 0) WHERE q.obj <= 5 GROUP BY ALL),
+    "pose_errors": f"{_Q}, e AS (SELECT obj, pid, degrees(acos(least(1, greatest(-1, cos(y / 7 - conf))))) AS r, degrees(acos(least(1, greatest(-1, (2 * x * z + y * y) / (x * x + y * y + z * z))))) AS t FROM pts) SELECT obj, pid, round(greatest(r, least(t, 180 - t)), 2) AS error FROM e",
+    "reconstruction": f"""{_Q}, a AS (SELECT DISTINCT obj, pid FROM pts), d AS (SELECT q.obj, q.pid, q.pid % 3 <> 0 AS is_pred, coalesce(min(sqrt((q.x - t.x) ** 2 + (q.y - t.y) ** 2 + (q.z - t.z) ** 2)), 3) AS d FROM pts q LEFT JOIN pts t ON t.obj = q.obj AND (t.pid % 3 <> 0) <> (q.pid % 3 <> 0) GROUP BY ALL),
 m AS (SELECT obj, avg(least(d, 3)) FILTER (WHERE is_pred) AS acc, avg(CAST(d < 1 AS DOUBLE)) FILTER (WHERE is_pred) AS pr, avg(least(d, 3)) FILTER (WHERE NOT is_pred) AS comp, avg(CAST(d < 1 AS DOUBLE)) FILTER (WHERE NOT is_pred) AS re FROM d GROUP BY obj)
 SELECT obj, round(acc, 4) AS acc, round(pr, 4) AS precision, round(comp, 4) AS comp, round(re, 4) AS recall, round((acc + comp) / 2, 4) AS overall, round(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0 END, 4) AS fscore FROM m""",
     "similarity_fit": f"{_Q} SELECT obj, count(*) AS n, CAST(2 AS DOUBLE) AS s, CAST(1 AS DOUBLE) AS t1, CAST(-3 AS DOUBLE) AS t2, CAST(0.5 AS DOUBLE) AS t3 FROM pts GROUP BY obj",
@@ -149,6 +149,11 @@ g AS (SELECT q.*, count(*) OVER (PARTITION BY obj) AS n FROM q JOIN f USING (obj
 v AS (SELECT obj, k, s, count(*) FILTER (WHERE abs(a - s * b) <= 0.1e0) AS v FROM g JOIN t USING (obj) GROUP BY ALL), w AS (SELECT obj, arg_max(s, (v, -k)) AS s FROM v GROUP BY obj),
 l AS (SELECT obj, sum(a * b) / sum(b * b) AS s, count(*) AS v FROM g JOIN w USING (obj) WHERE abs(a - s * b) <= 0.1e0 GROUP BY obj), m AS (SELECT obj, count(*) AS n FROM g GROUP BY obj)
 SELECT o.obj, coalesce(n, 0) AS n, round(CASE WHEN s > 0.1e0 AND s < 10 THEN s ELSE 1 END, 6) AS scale, round(coalesce(v / n, 0), 6) AS inliers FROM (SELECT DISTINCT obj FROM pts) o LEFT JOIN m USING (obj) LEFT JOIN l USING (obj)""",
+    "box_corners": f"""{_Q}, k AS (SELECT p.obj, p.x + cos(conf) * i + sin(conf) * conf / 2 * k AS a, p.y + 0.5e0 * j AS b, p.z - sin(conf) * i + cos(conf) * conf / 2 * k AS c
+ FROM pts p, (VALUES (-1), (1)) vi(i), (VALUES (-1), (1)) vj(j), (VALUES (-1), (1)) vk(k)) SELECT obj, {', '.join(f'round({f}({c}), 3) AS {n}{a}' for n, f in (('lo_', 'min'), ('hi_', 'max')) for a, c in zip('xyz', 'abc'))} FROM k GROUP BY obj""",
+    "clean_names": """WITH l AS (SELECT doc_id, trim(regexp_replace(string_split(lower(trim(text)), chr(10))[1], '["''`]', '', 'g')) AS l FROM documents),
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(trim(regexp_replace(regexp_replace(l, '^(a|an|the)\\s+', ''), '[^a-z0-9 \\-]', ' ', 'g')), '\\s+'), lambda x: x <> '') AS w FROM l),
+n AS (SELECT doc_id, array_to_string(w[1:3], ' ') AS name FROM w) SELECT doc_id, name, name = '' OR regexp_matches(name, 'background|wall|floor|ceiling|sky|ground|scene|room|image|unknown|nothing|none') AS bad FROM n""",
     "back_projection": f"{_Q} SELECT obj, pid, round((x * 10 - 160) / 300 * z, 4) AS a, round((y * 10 - 120) / 310 * z, 4) AS b, round(z, 4) AS c, round(x * 10, 4) AS u, round(y * 10, 4) AS v, round(z * 450 / 300, 4) AS metric FROM pts",
     "direction_words": f"""{_Q}, d AS (SELECT obj, pid, x - 25 AS dx, y - 7 AS dy, z - 7 AS dz FROM pts), n AS (SELECT *, sqrt(dx * dx + dy * dy + dz * dz) AS n FROM d),
 w AS (SELECT *, list_sort([{{'s': -abs(dz / n), 'o': 0, 'w': CASE WHEN dz > 0 THEN 'away' ELSE 'toward' END}}, {{'s': -abs(dx / n), 'o': 1, 'w': CASE WHEN dx > 0 THEN 'right' ELSE 'left' END}}, {{'s': -abs(dy / n), 'o': 2, 'w': CASE WHEN dy > 0 THEN 'down' ELSE 'up' END}}]) AS l FROM n)

@@ -37,7 +37,7 @@ QUERIES = {
     "motion_phases": OBS(lambda o: windows.motion_phases(o, "y", 0.5)),
     "motion_reversals": OBS(lambda o: windows.reversals(windows.motion_phases(o, "y", 0.5))),
     "box_filter": OBS(lambda o: windows.box_filter(o, "x").select("track_id", "frame_idx", *R("x_f"))),
-    "gaussian_path": OBS(lambda o: windows.gaussian_path(o, "x", 5).select("track_id", "frame_idx", *R("x_g"))),
+    "gaussian_path": OBS(lambda o: windows.gaussian_path(o, "x", 5).select("track_id", "frame_idx", F.round("x_g", 6).alias("x_g"))),
     "camera_motion": OBS(lambda o: windows.camera_motion(o).select("track_id", "motion", *R("moved"))),
     "estimated_fps": OBS(lambda o: windows.estimated_fps(o).select("track_id", F.round("fps", 9).alias("fps"))),
     "keyframe_fill": OBS(lambda o: windows.fill_from_keyframes(o, "x", F.col("frame_idx") % 5 == 0).select("track_id", "frame_idx", *R("x_key"))),
@@ -94,7 +94,9 @@ SELECT track_id, count(*) AS n_obs, round(coalesce(sum(st), 0), 4) AS path_lengt
     "motion_phases": f"{_Q}, {_PHASES} SELECT * FROM phases",
     "motion_reversals": f"{_Q}, {_PHASES}, t AS (SELECT track_id, CAST(sign <> lag(sign) OVER (PARTITION BY track_id ORDER BY phase) AS INT) AS t FROM phases WHERE sign <> 0) SELECT track_id, CAST(coalesce(sum(t), 0) AS BIGINT) AS n_reversals, coalesce(sum(t), 0) >= 3 AS oscillates FROM t GROUP BY track_id",
     "box_filter": f"{_Q} SELECT track_id, frame_idx, round((coalesce(lag(x) OVER o, 0) + x + coalesce(lead(x) OVER o, 0)) / 3, 4) AS x_f FROM obs WINDOW o AS (PARTITION BY track_id ORDER BY frame_idx)",
-    "gaussian_path": f"{_Q} SELECT track_id, frame_idx, round(({' + '.join(f'coalesce(lag(x, {-k}) OVER o * {w!r}, 0)' if k else f'x * {w!r}' for k, w in zip((-2, -1, 0, 1, 2), _G))}) / ({' + '.join(f'CASE WHEN lag(x, {-k}) OVER o IS NULL THEN 0 ELSE {w!r} END' if k else repr(w) for k, w in zip((-2, -1, 0, 1, 2), _G))}), 4) AS x_g FROM obs WINDOW o AS (PARTITION BY track_id ORDER BY frame_idx)",
+    "gaussian_path": f"""{_Q}, n AS (SELECT *, count(*) OVER (PARTITION BY track_id) AS n FROM obs), k(half, d, w) AS (VALUES (0, 0, 1.0), (1, -1, 0.25), (1, 0, 0.5), (1, 1, 0.25), (2, -2, 0.0625), (2, -1, 0.25), (2, 0, 0.375), (2, 1, 0.25), (2, 2, 0.0625)),
+s AS (SELECT n.*, k.w, abs(CASE WHEN frame_idx + d >= n THEN 2 * n - 2 - frame_idx - d ELSE frame_idx + d END) AS at FROM n JOIN k ON k.half = CASE WHEN n >= 5 THEN 2 WHEN n >= 3 THEN 1 ELSE 0 END)
+SELECT s.track_id, s.frame_idx, round(sum(s.w::DOUBLE * p.x), 6) AS x_g FROM s JOIN obs p ON p.track_id = s.track_id AND p.frame_idx = s.at GROUP BY ALL""",
     "camera_motion": f"{_Q}, d AS (SELECT track_id, sqrt((arg_max(x, frame_idx) - arg_min(x, frame_idx)) ** 2 + (arg_max(y, frame_idx) - arg_min(y, frame_idx)) ** 2 + (arg_max(z, frame_idx) - arg_min(z, frame_idx)) ** 2) AS m FROM obs GROUP BY track_id) SELECT track_id, CASE WHEN m < 0.01 THEN 'static' WHEN m < 0.3 THEN 'slight' WHEN m < 1 THEN 'moderate' ELSE 'large' END AS motion, round(m, 4) AS moved FROM d",
     "estimated_fps": f"{_Q}, d AS (SELECT track_id, ts_s - lag(ts_s) OVER (PARTITION BY track_id ORDER BY frame_idx) AS d FROM obs) SELECT track_id, round(1 / quantile_cont(d, 0.5), 9) AS fps FROM d WHERE d > 0 GROUP BY track_id",
     "keyframe_fill": f"{_Q} SELECT track_id, frame_idx, round(last_value(CASE WHEN frame_idx % 5 = 0 THEN x END IGNORE NULLS) OVER (PARTITION BY track_id ORDER BY frame_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS x_key FROM obs",
