@@ -2,7 +2,7 @@
 
 Everything is a DataFrame operation. The text is read once for the sizes; what is sorted is (source, key, size). A source is dealt over ranges of its hash keys, as many as its rows ask for, so one that holds a third of all rows fills as many tasks as any other third.
 
-Defined results: a null text has size 0; a null source is a source of its own, last in order; an empty table gives an empty result; rows repeated in full have equal keys and are taken one after the other; extra columns are ignored by mix() and kept by mix_documents().
+Defined results: a null text has size 0; a null source is a source of its own, last in order; an empty table gives an empty result; rows repeated in full have equal keys and are taken one after the other; a source without words takes nothing; extra columns, whatever their names, are ignored by mix() and kept by mix_documents().
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, n_words
+from .common import Scratch, n_words, unused
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -79,10 +79,11 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, cap: float = MAX_EPOCHS, see
 
     The last epoch takes a document if half of it or more lies before the cut. Only one key a source is needed for that, so the texts pass by without a shuffle."""
     scratch = Scratch(docs.sparkSession, "mixdocs")
+    own, epochs, cut, copies = unused(docs.columns, "own", "epochs", "cut", "copies")
     rest = F.col("budget") - F.col("epochs") * F.col("source_size")
     taken = F.when(F.col("before") + F.col("size") / 2 <= rest, F.col("key"))
-    cuts = _ordered(docs, scratch, weights, cap, seed, doc_id, text, source).groupBy("source").agg(F.first("epochs").alias("__epochs"), F.max(F.when(rest > 0, taken)).alias("__cut"))
-    cuts = scratch.table(cuts.withColumnRenamed("source", "__source"), "cuts")
-    copies = F.col("__epochs") + F.when(mix_key(seed, doc_id, text) <= F.col("__cut"), 1).otherwise(0)
-    joined = docs.join(cuts, docs[source].eqNullSafe(cuts["__source"])).withColumn("__copies", copies.cast("int")).where("__copies > 0")
-    return joined.select(*[joined[f"`{c}`"] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")
+    cuts = _ordered(docs, scratch, weights, cap, seed, doc_id, text, source).groupBy("source").agg(F.first("epochs").alias(epochs), F.max(F.when(rest > 0, taken)).alias(cut))
+    cuts = scratch.table(cuts.withColumnRenamed("source", own), "cuts")
+    times = F.col(epochs) + F.when(mix_key(seed, doc_id, text) <= F.col(cut), 1).otherwise(0)
+    joined = docs.join(cuts, F.col(source).eqNullSafe(F.col(own))).withColumn(copies, times.cast("int")).where(F.col(copies) > 0)
+    return joined.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).drop(own, epochs, cut, copies)
