@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
+from ..functions.geometry import let
 from .graph import checkpointed
 from .matching import assign, box_array, iou_matrix, paired, per_group
 
@@ -142,41 +143,81 @@ def best_scoring(scorings: DataFrame, keys=("grp",), which: str = "annotator") -
     return mean.groupBy(*keys).agg(F.max_by(which, F.struct("mean", (-F.col(which)).alias("o"))).alias(which))
 
 
-def average_precision(gt: DataFrame, pred: DataFrame, keys=("grp",), cat: str = "cat", thresholds=(0.5, 0.75)) -> DataFrame:
-    """(cat, iou, ap): each prediction, by falling score within its image and class, takes the free box of the largest IoU; precision is interpolated at 101 recalls.
+# Ranges of areas, both ends included, and largest numbers of detections of an image and class.
+AREAS = {"all": (0.0, 1e10), "small": (0.0, 1024.0), "medium": (1024.0, 9216.0), "large": (9216.0, 1e10)}
+MAX_DETS = (1, 10, 100)
+
+
+def matched_detections(gt: DataFrame, pred: DataFrame, keys=("grp",), cat: str = "cat", thresholds=IOUS, areas=AREAS, most: int = MAX_DETS[-1]) -> DataFrame:
+    """(keys, cat, area, iou, id, score, place, hit, ignored): the most best predictions of an image and class, each with the free box it takes at every threshold and range of areas.
+
+    In order of falling score, then id, a prediction takes the free box of the largest overlap that reaches the threshold (of equal ones that of the largest id); boxes whose area is outside of the range are ignored and only taken where no other fits. A prediction is ignored with the box it takes, or, without one, if its own area is outside. The choice is a fold over the ordered predictions of an image and class, in the JVM."""
+    at = [*keys, cat]
+    size = lambda p="": B.area(B.box(prefix=p))
+    side = lambda df, p: [F.col(c).alias(f"{p}{c}") for c in ("x0", "y0", "x1", "y1")]
+    place = F.row_number().over(W.partitionBy(*at).orderBy(F.desc("score"), "id"))
+    top = pred.select(*at, "id", "score", place.alias("place"), size().alias("size"), *side(pred, "p_")).where(F.col("place") <= most)
+    boxes = gt.select(*at, F.col("id").alias("gt_id"), size().alias("gt_size"), *side(gt, "g_"))
+    overlap = B.iou(B.box(prefix="p_"), B.box(prefix="g_"))
+    pairs = top.join(boxes, at).select(*at, "place", F.struct((-overlap).alias("less"), (-F.col("gt_id")).alias("later"), F.col("gt_size").alias("size")).alias("box")).where(F.col("box.less") <= -min(thresholds))
+    found = pairs.groupBy(*at, "place").agg(F.array_sort(F.collect_list("box")).alias("found"))
+    none = F.array().cast(found.schema["found"].dataType)
+    dets = top.join(found, [*at, "place"], "left").groupBy(*at).agg(F.array_sort(F.collect_list(F.struct("place", "id", "score", "size", F.coalesce("found", none).alias("found")))).alias("dets"))
+    ranges = F.array(*[F.struct(F.lit(name).alias("area"), F.lit(float(lo)).alias("low"), F.lit(float(hi)).alias("high")) for name, (lo, hi) in areas.items()])
+    outside = lambda v: ((v < F.col("range.low")) | (v > F.col("range.high"))).cast("int")
+    ordered = lambda d: F.array_sort(F.transform(d["found"], lambda g: F.struct(outside(g["size"]).alias("out"), g["less"].alias("less"), g["later"].alias("later"))))
+    runs = dets.withColumn("range", F.explode(ranges))
+    runs = runs.withColumn("fits", F.transform("dets", lambda d: F.struct(outside(d["size"]).alias("out"), ordered(d).alias("found")))).withColumn("iou", F.explode(F.array(*map(F.lit, thresholds))))
+    start = F.struct(F.array().cast("array<bigint>").alias("taken"), F.array().cast("array<int>").alias("said"))
+
+    def step(s, d):
+        free = F.filter(d["found"], lambda g: (g["less"] <= -F.col("iou")) & ~F.array_contains(s["taken"], g["later"]))
+        took = lambda g: F.struct(F.concat(s["taken"], F.array(g["later"])).alias("taken"), F.concat(s["said"], F.array(1 + 2 * g["out"])).alias("said"))
+        none = F.struct(s["taken"].alias("taken"), F.concat(s["said"], F.array(2 * d["out"])).alias("said"))
+        return let(F.try_element_at(free, F.lit(1)), lambda g: F.when(g.isNull(), none).otherwise(took(g)))
+
+    told = runs.withColumn("said", F.aggregate("fits", start, step)["said"]).withColumn("d", F.explode(F.arrays_zip("dets", "said")))
+    said = F.col("d.said")
+    return told.select(*at, F.col("range.area").alias("area"), "iou", F.col("d.dets.id").alias("id"), F.col("d.dets.score").alias("score"), F.col("d.dets.place").alias("place"), (said % 2).alias("hit"), (said >= 2).alias("ignored"))
+
+
+def coco_evaluation(gt: DataFrame, pred: DataFrame, keys=("grp",), cat: str = "cat", thresholds=IOUS, areas=AREAS, max_dets=MAX_DETS) -> DataFrame:
+    """(cat, area, iou, n_gt, ap, ar_1, ar_10, ...): average precision at 101 recalls, and the recall of the best max_dets predictions of each image; classes without ground truth in a range have no row.
+
+    The ranking is a range sort by class, range, threshold and falling score, cut by a checkpoint. A partition's counts are summed and added to the places inside it, so no class and no score shared by many predictions meets in one task."""
+    group = [cat, "area", "iou"]
+    each = checkpointed(matched_detections(gt, pred, keys, cat, thresholds, areas, max(max_dets)).where("not ignored"))
+    size = B.area(B.box())
+    inside = [F.when((size >= lo) & (size <= hi), F.lit(name)) for name, (lo, hi) in areas.items()]
+    n = gt.select(cat, F.explode(F.array_compact(F.array(*inside))).alias("area")).groupBy(cat, "area").agg(F.count("*").alias("n_gt"))
+    order = [F.desc("score"), *keys, "id"]
+    ranged = checkpointed(each.repartitionByRange(*group, *order).withColumn("__r", F.spark_partition_id()))
+    sums = ranged.groupBy(*group, "__r").agg(F.sum("hit").alias("__h"), F.count("*").alias("__n"))
+    before = W.partitionBy(*group).orderBy("__r").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select(*group, "__r", F.coalesce(F.sum("__h").over(before), F.lit(0)).alias("__h0"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n0"))
+    so_far = W.partitionBy(*group, "__r").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    curve = ranged.join(starts, [*group, "__r"]).withColumn("tp", F.col("__h0") + F.sum("hit").over(so_far)).withColumn("seen", F.col("__n0") + F.count("*").over(so_far)).where("hit = 1")
+    # the best precision at or beyond each of 101 recalls: one row for each step is enough
+    curve = curve.join(n, [cat, "area"]).withColumn("__s", F.floor(100 * F.col("tp") / F.col("n_gt")))
+    best = curve.groupBy(*group, "__s").agg(F.max(F.col("tp") / F.col("seen")).alias("__p"))
+    at = best.withColumn("__k", F.explode(F.sequence(F.lit(0), F.col("__s")))).groupBy(*group, "__k").agg(F.max("__p").alias("__p"))
+    ap = at.groupBy(*group).agg((F.sum("__p") / 101).alias("ap"))
+    hits = each.groupBy(*group).agg(*[F.sum(F.when(F.col("place") <= m, F.col("hit")).otherwise(0)).alias(f"tp_{m}") for m in max_dets])
+    every = n.withColumn("iou", F.explode(F.array(*map(F.lit, thresholds))))
+    out = every.join(hits, group, "left").join(ap, group, "left")
+    recall = [(F.coalesce(f"tp_{m}", F.lit(0)) / F.col("n_gt")).alias(f"ar_{m}") for m in max_dets]
+    return out.select(*group, "n_gt", F.coalesce("ap", F.lit(0.0)).alias("ap"), *recall)
 
-    The ranking is a range sort by class, threshold and falling score, cut by a checkpoint. A partition's counts are summed and added to the places inside it, so no class and no score shared by many predictions meets in one task."""
 
-    def run(r):
-        g, p = r["gt"] or [], sorted(r["pred"] or [], key=lambda x: (-x["score"], x["id"]))
-        s, out = iou_matrix(box_array(p), box_array(g)), []
-        for t in thresholds:
-            free = np.ones(len(g), bool)
-            for i, x in enumerate(p):
-                open_ = np.where(free, s[i], -1) if len(g) else np.empty(0)
-                j = int(open_.argmax()) if len(g) else -1
-                hit = j >= 0 and open_[j] >= t
-                if hit:
-                    free[j] = False
-                out.append((t, x["id"], x["score"], int(hit)))
-        return out
+def coco_summary(evaluation: DataFrame, max_dets=MAX_DETS) -> DataFrame:
+    """(area, ap, ap_50, ap_75, ar_...): means over classes and thresholds, a row for each range of areas."""
+    at = lambda t: F.avg(F.when(F.abs(F.col("iou") - t) < 1e-9, F.col("ap")))
+    return evaluation.groupBy("area").agg(F.avg("ap").alias("ap"), at(0.5).alias("ap_50"), at(0.75).alias("ap_75"), *[F.avg(f"ar_{m}").alias(f"ar_{m}") for m in max_dets])
 
-    each = per_group(paired(gt, pred, [*keys, cat]), [*keys, cat], run, pa.schema([("iou", pa.float64()), ("id", pa.int64()), ("score", pa.float64()), ("hit", pa.int64())]))
-    n = gt.groupBy(cat).agg(F.count("*").alias("n_gt"))
-    order = [F.desc("score"), *keys, "id"]
-    ranged = checkpointed(each.repartitionByRange(cat, "iou", *order).withColumn("__r", F.spark_partition_id()))
-    sums = ranged.groupBy(cat, "iou", "__r").agg(F.sum("hit").alias("__h"), F.count("*").alias("__n"))
-    before = W.partitionBy(cat, "iou").orderBy("__r").rowsBetween(W.unboundedPreceding, -1)
-    starts = sums.select(cat, "iou", "__r", F.coalesce(F.sum("__h").over(before), F.lit(0)).alias("__h0"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n0"))
-    inside = W.partitionBy(cat, "iou", "__r").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    curve = ranged.join(starts, [cat, "iou", "__r"]).withColumn("tp", F.col("__h0") + F.sum("hit").over(inside)).withColumn("seen", F.col("__n0") + F.count("*").over(inside)).where("hit = 1")
-    curve = curve.join(F.broadcast(n), cat).select(cat, "iou", (F.col("tp") / F.col("n_gt")).alias("recall"), (F.col("tp") / F.col("seen")).alias("precision"))
-    # the best precision at or beyond each of 101 recalls: one row for each step is enough
-    step = F.least(F.floor(F.col("recall") * 100 + 1e-9), F.lit(100))
-    best = curve.groupBy(cat, "iou", step.alias("__s")).agg(F.max("precision").alias("__p"))
-    grid = F.explode(F.sequence(F.lit(0), F.lit(100))).alias("__k")
-    at = best.select(cat, "iou").distinct().select(cat, "iou", grid).join(best, [cat, "iou"]).where("__s >= __k").groupBy(cat, "iou", "__k").agg(F.max("__p").alias("__p"))
-    return at.groupBy(cat, "iou").agg((F.sum("__p") / 101).alias("ap"))
+
+def average_precision(gt: DataFrame, pred: DataFrame, keys=("grp",), cat: str = "cat", thresholds=(0.5, 0.75)) -> DataFrame:
+    """(cat, iou, ap) over boxes of all sizes; see coco_evaluation()."""
+    return coco_evaluation(gt, pred, keys, cat, thresholds, {"all": AREAS["all"]}, (MAX_DETS[-1],)).select(cat, "iou", "ap")
 
 
 def tracklet_iou(gt: DataFrame, pred: DataFrame) -> DataFrame:

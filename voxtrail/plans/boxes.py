@@ -155,5 +155,10 @@ SELECT sc.video, sc.id, sc.score, list_contains(l.kept, sc.id) AS kept FROM sc J
     "association_by_threshold": f"""{_Q}, p AS (SELECT d.grp, d.id AS det_id, t.id AS trk_id, {_iou('d', 't')} AS overlap FROM pred d JOIN gt t ON d.grp = t.grp WHERE {_iou('d', 't')} >= 0.5),
 s AS (SELECT *, count(*) OVER (PARTITION BY grp, det_id) > 1 AND count(*) OVER (PARTITION BY grp, trk_id) > 1 AS many FROM p), n AS (SELECT *, row_number() OVER (PARTITION BY grp, det_id ORDER BY overlap DESC, trk_id) AS n FROM s WHERE NOT many)
 SELECT grp, det_id, trk_id, round(overlap, 6) AS overlap FROM n WHERE n = 1""",
+    "greedy_pairs": f"""{_Q}, pr AS MATERIALIZED (SELECT g.grp, g.id AS a, p.id AS b, {_iou('g', 'p')} AS overlap FROM gt g JOIN pred p ON g.grp = p.grp WHERE {_iou('g', 'p')} >= 0.3),
+rk AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY overlap DESC, a, b) AS rk FROM pr), bad AS MATERIALIZED (SELECT r.grp, r.rk, list(k.rk) AS ks FROM rk r JOIN rk k ON r.grp = k.grp AND k.rk < r.rk AND (r.a = k.a OR r.b = k.b) GROUP BY ALL),
+full_ AS MATERIALIZED (SELECT rk.grp, rk.rk, coalesce(bad.ks, []) AS ks FROM rk LEFT JOIN bad ON rk.grp = bad.grp AND rk.rk = bad.rk),
+walk AS (SELECT grp, rk, [rk] AS kept FROM full_ WHERE rk = 1 UNION ALL SELECT w.grp, f.rk, CASE WHEN list_has_any(f.ks, w.kept) THEN w.kept ELSE list_append(w.kept, f.rk) END FROM walk w JOIN full_ f ON f.grp = w.grp AND f.rk = w.rk + 1),
+last_ AS (SELECT grp, arg_max(kept, rk) AS kept FROM walk GROUP BY grp) SELECT rk.grp, rk.a, rk.b FROM rk JOIN last_ l ON rk.grp = l.grp WHERE list_contains(l.kept, rk.rk)""",
     "late_dedup_antijoin": f"{_Q} SELECT g.grp, g.id FROM gt g WHERE NOT EXISTS (SELECT 1 FROM pred p WHERE p.grp = g.grp AND {_iom('g', 'p')} >= 0.7)",
 }

@@ -10,6 +10,7 @@ from ..operators import aggregates, filters, windows
 from ..operators.graph import shared_dir
 from ..sources import writers
 from ..streaming import tracks as streams
+from .tracks import _WO, _slope
 
 OBS = lambda f: lambda spark, sf_dir: f(observations(spark, sf_dir))
 BOX = lambda f: lambda spark, sf_dir: f(boxes(spark, sf_dir))
@@ -120,6 +121,7 @@ _CLIP = "cl AS (SELECT grp, id, least(x0, 64) AS x0, least(y0, 64) AS y0, least(
 ORACLE = {
     "valid_depth": f"{_Q} SELECT obj, pid FROM pts WHERE z > 0 AND (pid % 5 = 0 OR conf >= 0.3)",
     "plausible_candidates": f"{_Q} SELECT obj, count(*) AS n FROM pts GROUP BY obj HAVING count(*) >= 50 AND greatest({', '.join(f'quantile_cont({c}, 0.98) - quantile_cont({c}, 0.02)' for c in 'xyz')}) <= 47.5",
+    "moving_tracks": f"{_Q}, v AS (SELECT track_id, {', '.join(f'{_slope(a)} AS v{a}' for a in 'xyz')} FROM obs WINDOW {_WO}), m AS (SELECT track_id, avg(sqrt(vx ** 2 + vy ** 2 + vz ** 2)) AS s FROM v GROUP BY track_id) SELECT track_id, round(s, 4) AS mean_speed FROM m WHERE s >= 0.0005e0",
     "low_score_objects": f"{_Q} SELECT track_id, frame_idx FROM obs WHERE track_id IN (SELECT track_id FROM obs GROUP BY track_id HAVING max(score) >= 0.985)",
     "keep_n_queries": f"{_Q}, q AS (SELECT grp AS image_id, grp * 10 + id AS query_id, score < 0.5 AS neg FROM box), n AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY CAST(neg AS INT), md5('0:' || query_id), query_id) AS n FROM q) SELECT image_id, query_id FROM n WHERE n <= 2",
     "zero_box_queries": f"{_Q} SELECT grp * 10 + id % 2 AS query_id FROM box GROUP BY grp, id % 2 HAVING count(*) <= 2 AND count(*) FILTER (WHERE id = 3) = 0",

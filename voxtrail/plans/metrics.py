@@ -65,6 +65,9 @@ def _patches(p):
     return aggregates.patch_grid(px, 53, 51, keys=("obj",), grid=8, coverage=0.1).select("obj", "row", "col", F.round("cover", 4).alias("cover"))
 
 
+_AREAS = {"all": (0.0, 1e10), "small": (0.0, 150.0), "large": (150.0, 1e10)}
+
+
 def _best_scoring(g, p):
     one = metrics.cgf1_images(g, p.where("grp % 2 = 0")).withColumn("annotator", F.lit(0))
     two = metrics.cgf1_images(g, p.where("grp % 3 = 0")).withColumn("annotator", F.lit(1))
@@ -91,6 +94,8 @@ QUERIES = {
     "cgf1": TWO(lambda g, p: rounded(metrics.cgf1_accumulate(metrics.cgf1_images(g, p)), ("iou",))),
     "best_annotator": TWO(_best_scoring),
     "average_precision": TWO(lambda g, p: rounded(metrics.average_precision(g, p), ("cat", "iou"))),
+    "coco_evaluation": TWO(lambda g, p: rounded(metrics.coco_evaluation(g, p, thresholds=(0.5, 0.75), areas=_AREAS, max_dets=(1, 3)), ("cat", "area", "iou"))),
+    "coco_summary": TWO(lambda g, p: rounded(metrics.coco_summary(metrics.coco_evaluation(g, p, thresholds=(0.5, 0.75), areas=_AREAS, max_dets=(1, 3)), (1, 3)), ("area",))),
     "tracklet_iou": TWO(lambda g, p: rounded(metrics.tracklet_iou(g, p), ("video",))),
     "pose_auc": PTS(lambda p: rounded(metrics.pose_auc(p.withColumn("error", F.col("z") * 2.5), most=30, keys=("obj",)), ("obj",))),
     "pose_errors": PTS(lambda p: _poses(p).select("obj", "pid", F.round("error", 2).alias("error"))),
@@ -114,7 +119,46 @@ def _bound(c):
     return f"round(CASE WHEN count(*) >= 20 THEN quantile_cont({c}, 0.02) ELSE min({c}) END, 4) AS {c}_min, round(CASE WHEN count(*) >= 20 THEN quantile_cont({c}, 0.98) ELSE max({c}) END, 4) AS {c}_max"
 
 
+def _axes(form: str) -> str:
+    return ", ".join(form.replace("#", c) for c in "xyz")
+
+
+#: Filter and backward pass as recursions over a track's rows: gains written out for the two-by-two covariance.
+_KALMAN = f"""o AS MATERIALIZED (SELECT track_id, frame_idx AS i, ts_s AS t, x, y, z, (0.03e0 * greatest(z, 1) ** 2) ** 2 AS r0 FROM obs),
+f AS (SELECT track_id, i, t, x, y, z, 0::DOUBLE AS vx, 0::DOUBLE AS vy, 0::DOUBLE AS vz, 0.0009e0 - 0.0009e0 * 0.0009e0 / (0.0009e0 + r0) AS a, 0::DOUBLE AS b, 1::DOUBLE AS d, x AS qx, y AS qy, z AS qz, 0.0009e0 AS qa, 0::DOUBLE AS qb, 1::DOUBLE AS qd, 0::DOUBLE AS h FROM o WHERE i = 0
+ UNION ALL SELECT track_id, i, t, {_axes("q# + qa / tot * o#")}, {_axes("v# + qb / tot * o#")}, qa - qa / tot * qa, qb - qa / tot * qb, qd - qb / tot * qb, {_axes("q#")}, qa, qb, qd, h
+  FROM (SELECT *, qa + r0 * CASE WHEN far > 1 THEN 1 + 50 * far * far ELSE 1 END AS tot FROM (SELECT *, (ox * ox + oy * oy + oz * oz) / (qa + r0) / 27 AS far
+  FROM (SELECT *, {_axes("z# - q# AS o#")} FROM (SELECT f.track_id, o.i, o.t, o.r0, o.t - f.t AS h, {_axes("f.v#")}, {_axes("o.# AS z#")}, {_axes("f.# + (o.t - f.t) * f.v# AS q#")},
+   f.a + 2 * (o.t - f.t) * f.b + (o.t - f.t) ** 2 * f.d + 0.25e0 * (o.t - f.t) ** 4 / 4 AS qa, f.b + (o.t - f.t) * f.d + 0.25e0 * (o.t - f.t) ** 3 / 2 AS qb, f.d + 0.25e0 * (o.t - f.t) ** 2 AS qd
+   FROM f JOIN o ON o.track_id = f.track_id AND o.i = f.i + 1))))),
+g AS MATERIALIZED (SELECT * FROM f),
+s AS (SELECT track_id, i, {_axes("#")}, {_axes("v#")} FROM g WHERE i = (SELECT max(i) FROM o WHERE o.track_id = g.track_id)
+ UNION ALL SELECT c.track_id, c.i, {_axes("c.# + ((c.a + n.h * c.b) * n.qd - c.b * n.qb) / (n.qa * n.qd - n.qb ** 2) * (s.# - n.q#) + (c.b * n.qa - (c.a + n.h * c.b) * n.qb) / (n.qa * n.qd - n.qb ** 2) * (s.v# - c.v#)")},
+  {_axes("c.v# + ((c.b + n.h * c.d) * n.qd - c.d * n.qb) / (n.qa * n.qd - n.qb ** 2) * (s.# - n.q#) + (c.d * n.qa - (c.b + n.h * c.d) * n.qb) / (n.qa * n.qd - n.qb ** 2) * (s.v# - c.v#)")}
+  FROM s JOIN g n ON n.track_id = s.track_id AND n.i = s.i JOIN g c ON c.track_id = s.track_id AND c.i = s.i - 1)"""
 _INTER = "greatest(least(g.x1, p.x1) - greatest(g.x0, p.x0), 0) * greatest(least(g.y1, p.y1) - greatest(g.y0, p.y0), 0)"
+
+
+def _evaluation(areas: dict, dets: tuple) -> str:
+    """ev: the evaluation of boxes, its matching as a recursion over the places of an image's predictions."""
+    listed = ", ".join(f"('{k}', {lo}::DOUBLE, {hi}::DOUBLE)" for k, (lo, hi) in areas.items())
+    return f"""ar(area, lo, hi) AS (VALUES {listed}), th(iou) AS (VALUES (0.5::DOUBLE), (0.75::DOUBLE)),
+dt AS MATERIALIZED (SELECT * FROM (SELECT grp, cat, id, score, x0, y0, x1, y1, (x1 - x0) * (y1 - y0) AS size, row_number() OVER (PARTITION BY grp, cat ORDER BY score DESC, id) AS place FROM pred) WHERE place <= {max(dets)}),
+cn AS MATERIALIZED (SELECT p.grp, p.cat, p.place, r.area, list({{'ig': ga < r.lo OR ga > r.hi, 'less': -ov, 'later': -gid}} ORDER BY ga < r.lo OR ga > r.hi, -ov, -gid) AS l
+ FROM (SELECT p.grp, p.cat, p.place, g.id AS gid, (g.x1 - g.x0) * (g.y1 - g.y0) AS ga, {_INTER} / ((g.x1 - g.x0) * (g.y1 - g.y0) + p.size - {_INTER}) AS ov FROM dt p JOIN gt g ON g.grp = p.grp AND g.cat = p.cat) p, ar r WHERE ov >= 0.5 GROUP BY ALL),
+fl AS MATERIALIZED (SELECT d.grp, d.cat, d.place, r.area, t.iou, d.id, d.score, d.size < r.lo OR d.size > r.hi AS far, coalesce(cn.l, []) AS l FROM dt d CROSS JOIN ar r CROSS JOIN th t LEFT JOIN cn ON cn.grp = d.grp AND cn.cat = d.cat AND cn.place = d.place AND cn.area = r.area),
+mt AS (SELECT grp, cat, area, iou, 0::BIGINT AS place, []::BIGINT[] AS taken, NULL::BOOLEAN AS hit, NULL::BOOLEAN AS ig FROM (SELECT DISTINCT grp, cat, area, iou FROM fl)
+ UNION ALL SELECT grp, cat, area, iou, place, CASE WHEN m IS NULL THEN taken ELSE list_append(taken, m.later) END, m IS NOT NULL, CASE WHEN m IS NULL THEN far ELSE m.ig END
+  FROM (SELECT f.grp, f.cat, f.area, f.iou, f.place, w.taken, f.far, list_filter(f.l, lambda x: x.less <= -f.iou AND NOT list_contains(w.taken, x.later))[1] AS m FROM mt w JOIN fl f ON f.grp = w.grp AND f.cat = w.cat AND f.area = w.area AND f.iou = w.iou AND f.place = w.place + 1)),
+ok AS MATERIALIZED (SELECT mt.*, d.id, d.score FROM mt JOIN dt d ON d.grp = mt.grp AND d.cat = mt.cat AND d.place = mt.place WHERE NOT ig),
+ng AS (SELECT cat, area, count(*) AS n_gt FROM gt g, ar r WHERE (x1 - x0) * (y1 - y0) BETWEEN lo AND hi GROUP BY ALL),
+cu AS (SELECT *, sum(CAST(hit AS INT)) OVER o AS tp, count(*) OVER o AS seen FROM ok WINDOW o AS (PARTITION BY cat, area, iou ORDER BY score DESC, grp, id)),
+sp AS (SELECT cu.cat, cu.area, cu.iou, CAST(floor(100 * tp / n_gt) AS INT) AS s, max(tp / seen) AS p FROM cu JOIN ng ON ng.cat = cu.cat AND ng.area = cu.area WHERE hit GROUP BY ALL),
+pk AS (SELECT cat, area, iou, k, max(p) AS p FROM sp, range(0, 101) r(k) WHERE k <= s GROUP BY ALL), pa AS (SELECT cat, area, iou, sum(p) / 101 AS ap FROM pk GROUP BY ALL),
+rc AS (SELECT cat, area, iou, {', '.join(f'count(*) FILTER (WHERE hit AND place <= {m}) AS tp_{m}' for m in dets)} FROM ok GROUP BY ALL),
+ev AS MATERIALIZED (SELECT ng.cat, ng.area, th.iou, n_gt, coalesce(ap, 0) AS ap, {', '.join(f'coalesce(tp_{m}, 0) / n_gt AS ar_{m}' for m in dets)} FROM ng CROSS JOIN th LEFT JOIN pa ON pa.cat = ng.cat AND pa.area = ng.area AND pa.iou = th.iou LEFT JOIN rc ON rc.cat = ng.cat AND rc.area = ng.area AND rc.iou = th.iou)"""
+
+
 ORACLE = {
     "shape_tokens": f"{_Q} SELECT obj, count(*) AS n, {', '.join(f'round(avg({c}), 4) AS {c}_mu, round(stddev_pop({c}), 4) AS {c}_sigma, {_bound(c)}' for c in 'xyz')} FROM pts GROUP BY obj",
     "oriented_boxes": f"""{_Q}, md AS (SELECT obj, count(*) AS n, median(x) AS mx, median(y) AS my, median(z) AS mz FROM pts GROUP BY obj),
@@ -136,6 +180,9 @@ SELECT obj, n_points, round(yaw, 4) AS yaw, round(cos(yaw) * (u0 + u1) / 2 + sin
     "histogram_bins": f"""{_Q}, b AS (SELECT obj, least(greatest(floor(x / 50 * 8), 0), 7) AS k FROM pts UNION ALL SELECT obj, 8 + least(greatest(floor(y / 14 * 8), 0), 7) FROM pts UNION ALL SELECT obj, 16 + least(greatest(floor(conf * 4), 0), 3) FROM pts),
 n AS (SELECT obj, count(*) AS n FROM b GROUP BY obj), g AS (SELECT obj, n, CAST(unnest(range(0, 20)) AS INT) AS bin FROM n) SELECT g.obj, g.bin, round(count(b.k) / any_value(g.n), 6) AS share FROM g LEFT JOIN b ON b.obj = g.obj AND b.k = g.bin GROUP BY g.obj, g.bin""",
     "track_counts": f"{_Q} SELECT video, count(*) AS dets, count(DISTINCT id) AS ids, count(DISTINCT grp) AS frames FROM pred GROUP BY video",
+    "average_precision": f"{_Q}, {_evaluation({'all': (0.0, 1e10)}, (100,))} SELECT cat, iou, round(ap, 4) AS ap FROM ev",
+    "coco_evaluation": f"{_Q}, {_evaluation(_AREAS, (1, 3))} SELECT cat, area, iou, n_gt, round(ap, 4) AS ap, round(ar_1, 4) AS ar_1, round(ar_3, 4) AS ar_3 FROM ev",
+    "coco_summary": f"{_Q}, {_evaluation(_AREAS, (1, 3))} SELECT area, round(avg(ap), 4) AS ap, round(avg(ap) FILTER (WHERE iou = 0.5), 4) AS ap_50, round(avg(ap) FILTER (WHERE iou = 0.75), 4) AS ap_75, round(avg(ar_1), 4) AS ar_1, round(avg(ar_3), 4) AS ar_3 FROM ev GROUP BY area",
     "tracklet_iou": f"""{_Q}, i AS (SELECT g.video, g.id AS gt_id, p.id AS pred_id, sum({_INTER}) AS i FROM gt g JOIN pred p ON g.video = p.video AND g.grp = p.grp GROUP BY ALL), ga AS (SELECT video, id, sum((x1 - x0) * (y1 - y0)) AS a FROM gt GROUP BY ALL), pa AS (SELECT video, id, sum((x1 - x0) * (y1 - y0)) AS a FROM pred GROUP BY ALL)
 SELECT i.video, gt_id, pred_id, round(i / (ga.a + pa.a - i), 4) AS iou FROM i JOIN ga ON ga.video = i.video AND ga.id = gt_id JOIN pa ON pa.video = i.video AND pa.id = pred_id""",
     "pose_auc": f"{_Q} SELECT obj, round(avg(CASE WHEN z * 2.5e0 <= 30 THEN (30 - least(floor(z * 2.5e0), 29)) / 30 ELSE 0 END), 4) AS auc FROM pts GROUP BY obj",
@@ -154,6 +201,7 @@ SELECT o.obj, coalesce(n, 0) AS n, round(CASE WHEN s > 0.1e0 AND s < 10 THEN s E
     "clean_names": """WITH l AS (SELECT doc_id, trim(regexp_replace(string_split(lower(trim(text)), chr(10))[1], '["''`]', '', 'g')) AS l FROM documents),
 w AS (SELECT doc_id, list_filter(regexp_split_to_array(trim(regexp_replace(regexp_replace(l, '^(a|an|the)\\s+', ''), '[^a-z0-9 \\-]', ' ', 'g')), '\\s+'), lambda x: x <> '') AS w FROM l),
 n AS (SELECT doc_id, array_to_string(w[1:3], ' ') AS name FROM w) SELECT doc_id, name, name = '' OR regexp_matches(name, 'background|wall|floor|ceiling|sky|ground|scene|room|image|unknown|nothing|none') AS bad FROM n""",
+    "kalman_smooth": f"{_Q}, {_KALMAN} SELECT track_id, CAST(i AS BIGINT) AS frame_idx, {_axes('round(#, 4) AS #')}, {_axes('round(v#, 4) AS v#')} FROM s",
     "back_projection": f"{_Q} SELECT obj, pid, round((x * 10 - 160) / 300 * z, 4) AS a, round((y * 10 - 120) / 310 * z, 4) AS b, round(z, 4) AS c, round(x * 10, 4) AS u, round(y * 10, 4) AS v, round(z * 450 / 300, 4) AS metric FROM pts",
     "direction_words": f"""{_Q}, d AS (SELECT obj, pid, x - 25 AS dx, y - 7 AS dy, z - 7 AS dz FROM pts), n AS (SELECT *, sqrt(dx * dx + dy * dy + dz * dz) AS n FROM d),
 w AS (SELECT *, list_sort([{{'s': -abs(dz / n), 'o': 0, 'w': CASE WHEN dz > 0 THEN 'away' ELSE 'toward' END}}, {{'s': -abs(dx / n), 'o': 1, 'w': CASE WHEN dx > 0 THEN 'right' ELSE 'left' END}}, {{'s': -abs(dy / n), 'o': 2, 'w': CASE WHEN dy > 0 THEN 'down' ELSE 'up' END}}]) AS l FROM n)
