@@ -94,13 +94,15 @@ HOT_ROWS = 50_000
 MOST_HOT = 10_000
 
 
-def hot_join(rows: DataFrame, names: DataFrame, keys: list[str], total: int, count: str = "n") -> DataFrame:
-    """rows joined with names (one row for each of the keys, with the number of its rows), where single keys may hold a large part of all rows.
+def hot_join(rows: DataFrame, names: DataFrame, keys: list[str], total: int, sizes: DataFrame | None = None) -> DataFrame:
+    """rows joined with names (one row for each of the keys), where single keys may hold a large part of all rows. sizes: keys and n, the number of their rows, if names is dear to compute.
 
     A key is hot if it has more than HOT_ROWS rows and more than one in MOST_HOT of all: there can't be more than MOST_HOT such keys, so their names are broadcast, and rows of hot keys aren't shuffled. What is left has at most that many rows in a key."""
     limit = max(HOT_ROWS, total // MOST_HOT)
-    hot = names.where(F.col(count) > limit)
+    sizes = names if sizes is None else sizes
+    hot = sizes.where(F.col("n") > limit).select(*keys)
     if hot.isEmpty():
         return rows.join(names, keys)
     hot = F.broadcast(hot)
-    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(names.where(F.col(count) <= limit), keys))
+    few = F.broadcast(names.join(hot, keys, "left_semi"))
+    return rows.join(few, keys).unionByName(rows.join(hot, keys, "left_anti").join(names, keys))

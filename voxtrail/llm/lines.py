@@ -31,21 +31,20 @@ def text_keys(doc_id: str, text: str) -> list[Column]:
     return [F.coalesce(row, F.lit(LAST)).alias("row"), key.alias("text_key")]
 
 
-def ordered(df: DataFrame, keys: list[str], scratch: Scratch, name: str) -> DataFrame:
-    """df in the order of keys: part, the number of its range, and mid, which rises within a range."""
-    parts = max(1, -(-df.count() // RANGE_ROWS))
+def ordered(df: DataFrame, keys: list[str], total: int, scratch: Scratch, name: str) -> DataFrame:
+    """df, of up to total rows, in the order of keys: part, the number of its range, and mid, which rises within a range."""
+    parts = max(1, -(-total // RANGE_ROWS))
     rows = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("mid", F.monotonically_increasing_id())
     return scratch.table(rows.withColumn("part", F.shiftright("mid", 33)), name)
 
 
-def ranked(names: DataFrame, keys: list[str], scratch: Scratch, name: str) -> DataFrame:
-    """names (keys and n, the rows of a name) with rank, one more than the rows of all names before."""
-    rows = ordered(scratch.table(names, f"{name}-names"), keys, scratch, f"{name}-sorted")
-    sums = rows.groupBy("part").agg(F.sum("n").alias("all"))  # one row for each range
+def ranked(names: DataFrame, keys: list[str]) -> DataFrame:
+    """Ordered names (keys and n, the rows of a name) with rank, one more than the rows of all names before."""
+    sums = names.groupBy("part").agg(F.sum("n").alias("all"))  # one row for each range
     before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
     starts = sums.select("part", F.coalesce(F.sum("all").over(before(W.orderBy("part"))), F.lit(0)).alias("start"))
     inside = F.coalesce(F.sum("n").over(before(W.partitionBy("part").orderBy("mid"))), F.lit(0))
-    return scratch.table(rows.join(F.broadcast(starts), "part").select(*keys, "n", (F.col("start") + inside + 1).alias("rank")), name)
+    return names.join(F.broadcast(starts), "part").select(*keys, "n", (F.col("start") + inside + 1).alias("rank"))
 
 
 def numbered_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) -> DataFrame:
@@ -54,10 +53,10 @@ def numbered_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) ->
     df = docs.select(*text_keys(doc_id, text), lines.alias("lines"))
     df = df.select("row", "text_key", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("pos", "line"))
     df = scratch.table(df.select(*PLACE, (F.col("n_lines") - F.col("pos")).alias("left"), "line.*"), "lines")
-    total = df.count()
-    names = ranked(df.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1"), ["h1", "h2"], scratch, "ids")
-    found = hot_join(df, names, ["h1", "h2"], total).dropDuplicates(list(PLACE))
-    found = scratch.table(found.select(*PLACE, "at", "words", "left", F.col("rank").alias("id"), "rank"), "rank-0")
+    total, keys = df.count(), ["h1", "h2"]
+    names = ordered(df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1"), keys, total, scratch, "ids")
+    found = hot_join(df, ranked(names, keys), keys, total, names).dropDuplicates(list(PLACE))
+    found = scratch.table(found.select(*PLACE, "at", "words", "left", F.col("rank").alias("id"), "rank"), "numbered")
     scratch.drop("lines")
     return found
 
@@ -65,21 +64,23 @@ def numbered_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) ->
 def suffix_ranks(lines: DataFrame, scratch: Scratch, most: int) -> DataFrame:
     """lines with rank: the order of the suffixes by their first most lines or more."""
     by_text = W.partitionBy("row", "text_key").orderBy("pos")
-    total, groups, half, k = lines.count(), -1, 1, 0
+    total, groups, half, k, keys, state = lines.count(), -1, 1, 0, ["first", "second"], lines
     while half < most:
         # what follows a run's end sorts first; a line that occurs once makes its suffix one of a kind
         ahead = F.max("rank").over(by_text.rangeBetween(half, half))
         once = -F.abs(F.xxhash64(*PLACE) % LAST) - 1
         second = F.when(F.col("left") <= half, 0).otherwise(F.coalesce(ahead, once))
-        pairs = scratch.table(lines.withColumn("second", second).withColumnRenamed("rank", "first"), f"pairs-{k}")
-        names = ranked(pairs.groupBy("first", "second").agg(F.count("*").alias("n")), ["first", "second"], scratch, f"round-{k}")
+        pairs = scratch.table(state.withColumn("second", second).withColumnRenamed("rank", "first"), f"pairs-{k}")
+        names = ordered(pairs.groupBy(*keys).agg(F.count("*").alias("n")), keys, total, scratch, f"names-{k}")
         count = names.count()
-        if count == groups:
-            return lines
+        if count == groups:  # no group has split, so none will
+            return pairs.withColumnRenamed("first", "rank").select(*lines.columns)
+        state = hot_join(pairs, ranked(names, keys), keys, total, names).select(*lines.columns)
         groups, half, k = count, 2 * half, k + 1
-        lines = scratch.table(hot_join(pairs, names, ["first", "second"], total).select(*lines.columns), f"rank-{k}")
-        scratch.drop(f"pairs-{k - 1}")
-    return lines
+        if k > 1:
+            scratch.drop(f"pairs-{k - 2}")
+            scratch.drop(f"names-{k - 2}")
+    return state
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -106,7 +107,7 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS,
     rows = rows.withColumn("m", F.aggregate("run", start, count)).where(F.col("m.sum") >= min_words)
     rows = rows.select(*PLACE, "rank", (F.col("m.short") + 1).alias("least"), F.slice("run", F.lit(1), F.greatest(F.col("m.most"), F.col("m.short") + 1)).alias("run"))
     rows = rows.select(*PLACE, "rank", "least", F.col("run.id").alias("ids"), F.col("run.at").alias("at"))
-    sa = ordered(scratch.table(rows, "suffixes"), ["rank", *PLACE], scratch, "array")
+    sa = ordered(rows, ["rank", *PLACE], lines.count(), scratch, "array")
     inside = W.partitionBy("part").orderBy("mid")
     sa = sa.withColumns({"before": F.lag("ids").over(inside), "after": F.lead("ids").over(inside), "first": F.row_number().over(inside) == 1})
     # the suffixes at the edges of the ranges: one row for each range, in one task
@@ -134,3 +135,22 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long")
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return joined.select("doc_id", n_lines.alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), text.alias("text"))
+
+
+def oracle_sql(min_words: int = MIN_WORDS) -> str:
+    """dedup_lines() over documents of distinct ids in DuckDB's SQL, by the text of every shortest run from and to each line."""
+    words = r"len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))"
+    return f"""
+WITH t AS MATERIALIZED (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+ln AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS pos, sum(n) OVER (PARTITION BY doc_id ORDER BY k) AS c
+  FROM (SELECT doc_id, k, x, {words} AS n FROM (SELECT doc_id, unnest(range(len(l))) AS k, unnest(l) AS x FROM t)) WHERE n > 0),
+li AS (SELECT doc_id, list(x ORDER BY pos) AS xs FROM ln GROUP BY doc_id),
+runs AS MATERIALIZED (SELECT a.doc_id, a.pos, a.k AS first, b.k AS last, md5(array_to_string(xs[a.pos:b.pos], chr(10))) AS name
+  FROM ln a JOIN ln b ON a.doc_id = b.doc_id AND b.pos >= a.pos JOIN li ON li.doc_id = a.doc_id
+  WHERE b.c - a.c + a.n >= {min_words} AND (b.c - a.c + a.n - b.n < {min_words} OR b.c - a.c < {min_words})),
+origins AS (SELECT name, min({{'d': doc_id, 'p': pos}}) AS o FROM runs GROUP BY name),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS k FROM runs JOIN origins USING (name) WHERE {{'d': doc_id, 'p': pos}} > o),
+g AS (SELECT doc_id, list(k) AS gs FROM gone GROUP BY doc_id)
+SELECT t.doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(gs), 0) AS BIGINT) AS n_removed,
+  CASE WHEN gs IS NULL THEN text ELSE array_to_string(list_filter(l, lambda x, i: NOT list_contains(gs, i - 1)), chr(10)) END AS text
+FROM t LEFT JOIN g ON g.doc_id = t.doc_id"""

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import links, quality, secrets, warc
+from . import lines, links, quality, secrets, warc
 from .common import Scratch
 from .decontaminate import leaks
 from .html import extract
-from .lines import dedup_lines
 from .minhash import near_duplicates
 from .mixing import mix
 from .shards import shard_documents
@@ -30,7 +29,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents"))
+    return lines.dedup_lines(table(spark, sf_dir, "documents"))
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +96,7 @@ SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id IS NOT DISTINCT FROM first THEN NULL ELSE first END AS refers_to
 FROM d""",
+    "op3_lines": lines.oracle_sql(),
     "op5_quality": quality.oracle_sql(),
     "op7_links": links.oracle_sql(seed_hosts=f"SELECT host FROM hosts WHERE regexp_matches(host, '{_BLOCKED_HOST}')"),
     "op10_secrets": secrets.oracle_sql(),
