@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """checkpoint() in the folder that spark.checkpoint.dir names; our own where it is unset."""
-    spark: SparkSession = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    """df as a table in the shared folder, which cuts its lineage and survives lost executors; removed when the driver's Python ends. A checkpoint would compute the last stage twice."""
+    path = f"{shared_dir(df.sparkSession)}/voxtrail/engine-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, df.sparkSession, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        if spark.sparkContext._jsc is not None:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the JVM has gone; nothing is left to ask
+        pass
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -125,6 +125,20 @@ last_ AS (SELECT grp, arg_max(kept, rk) AS kept FROM walk GROUP BY grp),
 stay AS (SELECT f.grp, f.id FROM full_ f JOIN last_ l ON f.grp = l.grp WHERE list_contains(l.kept, f.rk))"""
 
 
+def _anchors() -> str:
+    """ob: the objects of each group, a list that the group's boxes go through in order."""
+    iou, iom, near = f"coalesce({_iou('o', 'q')}, 0)", _iom("o", "q"), "sqrt((((o.x0 + o.x1) / 2 - (q.x0 + q.x1) / 2) / 64) ** 2 + (((o.y0 + o.y1) / 2 - (q.y0 + q.y1) / 2) / 64) ** 2) < 0.05"
+    fits = f"({iou} >= 0.4 OR {near} AND {_area('o')} / {_area('q')} BETWEEN 0.5 AND 2 OR {iom} >= 0.7)"
+    held = f"(NOT {iou} >= 0.4 AND {_area('o')} > {_area('q')} AND {iom} >= 0.7)"
+    kept = ", ".join(f"'{c}': CASE WHEN {held} THEN o.{c} ELSE q.{c} END" for c in ("x0", "y0", "x1", "y1"))
+    fresh = ", ".join(f"'{c}': q.{c}" for c in ("x0", "y0", "x1", "y1"))
+    return f"""rk AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY id) AS rk FROM box WHERE (x1 - x0) * (y1 - y0) >= 100),
+walk AS (SELECT grp, rk, [{{'first_id': id, 'n': 1, {fresh}}}] AS objs FROM rk q WHERE rk = 1
+ UNION ALL SELECT grp, rk, CASE WHEN hit = 0 OR hit IS NULL THEN list_append(objs, {{'first_id': q.id, 'n': 1, {fresh}}}) ELSE list_transform(objs, lambda o, i: CASE WHEN i = hit THEN {{'first_id': o.first_id, 'n': o.n + 1, {kept}}} ELSE o END) END
+  FROM (SELECT q.grp, q.rk, q, w.objs, list_position(list_transform(w.objs, lambda o: {fits}), true) AS hit FROM walk w JOIN rk q ON q.grp = w.grp AND q.rk = w.rk + 1)),
+ob AS (SELECT grp, arg_max(objs, rk) AS objs FROM walk GROUP BY grp)"""
+
+
 _D = f"{_Q}, {_greedy('score DESC, id', _iou('r', 'k') + ' >= 0.3')}"
 ORACLE = {
     "box_conversions": f"{_Q} SELECT grp, id, round((x0 + x1) / 2, 6) AS c0, round((y0 + y1) / 2, 6) AS c1, x1 - x0 AS c2, y1 - y0 AS c3, x0 AS r0, y0 AS r1, x1 AS r2, y1 AS r3, x0 AS w0, y0 AS w1, x1 - x0 AS w2, y1 - y0 AS w3, x0 AS v0, y0 AS v1, x1 - x0 AS v2, y1 - y0 AS v3, x0 AS q0, y0 AS q1, x1 AS q2, y1 AS q3, round((x0 + x1) / 2, 6) AS s0, round((y0 + y1) / 2, 6) AS s1, x1 - x0 AS s2, y1 - y0 AS s3 FROM box",
@@ -155,6 +169,7 @@ SELECT sc.video, sc.id, sc.score, list_contains(l.kept, sc.id) AS kept FROM sc J
     "association_by_threshold": f"""{_Q}, p AS (SELECT d.grp, d.id AS det_id, t.id AS trk_id, {_iou('d', 't')} AS overlap FROM pred d JOIN gt t ON d.grp = t.grp WHERE {_iou('d', 't')} >= 0.5),
 s AS (SELECT *, count(*) OVER (PARTITION BY grp, det_id) > 1 AND count(*) OVER (PARTITION BY grp, trk_id) > 1 AS many FROM p), n AS (SELECT *, row_number() OVER (PARTITION BY grp, det_id ORDER BY overlap DESC, trk_id) AS n FROM s WHERE NOT many)
 SELECT grp, det_id, trk_id, round(overlap, 6) AS overlap FROM n WHERE n = 1""",
+    "anchor_dedup": f"{_Q}, {_anchors()} SELECT grp, CAST(i AS INT) AS object, objs[i + 1].first_id AS first_id, objs[i + 1].n AS n, objs[i + 1].x0 AS x0, objs[i + 1].y0 AS y0, objs[i + 1].x1 AS x1, objs[i + 1].y1 AS y1 FROM (SELECT grp, objs, unnest(range(len(objs))) AS i FROM ob)",
     "greedy_pairs": f"""{_Q}, pr AS MATERIALIZED (SELECT g.grp, g.id AS a, p.id AS b, {_iou('g', 'p')} AS overlap FROM gt g JOIN pred p ON g.grp = p.grp WHERE {_iou('g', 'p')} >= 0.3),
 rk AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY overlap DESC, a, b) AS rk FROM pr), bad AS MATERIALIZED (SELECT r.grp, r.rk, list(k.rk) AS ks FROM rk r JOIN rk k ON r.grp = k.grp AND k.rk < r.rk AND (r.a = k.a OR r.b = k.b) GROUP BY ALL),
 full_ AS MATERIALIZED (SELECT rk.grp, rk.rk, coalesce(bad.ks, []) AS ks FROM rk LEFT JOIN bad ON rk.grp = bad.grp AND rk.rk = bad.rk),
