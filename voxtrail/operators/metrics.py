@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
+from ..functions import masks
 from ..functions.geometry import let
 from .graph import checkpointed
 from .matching import assign, box_array, iou_matrix, paired, per_group
@@ -120,6 +121,29 @@ def cgf1_images(gt: DataFrame, pred: DataFrame, keys=("grp",), least_score: floa
     return per_group(paired(gt, pred, keys), list(keys), run, pa.schema(kinds))
 
 
+def mask_scores(gt: DataFrame, pred: DataFrame, keys=("grp",), least_score: float = 0.5, radius: int = 1) -> DataFrame:
+    """(keys, j, f, jf, n): of the masks (id, rle, and score of predictions) of each image the assignment of the largest total IoU among predictions of least_score or more: mean IoU of its pairs, mean F of their boundaries, and the mean of both. An image without pairs has nulls and n 0."""
+
+    def run(r):
+        g, p = r["gt"] or [], [x for x in r["pred"] or [] if x["score"] >= least_score]
+        a, b = ([masks.decode(x["rle"]) for x in side] for side in (g, p))
+        iou = np.array([[(m & n).sum() / max((m | n).sum(), 1) for n in b] for m in a]).reshape(len(a), len(b))
+        rows, cols = assign(-iou)
+        if not len(rows):
+            return [(None, None, None, 0)]
+        j = float(iou[rows, cols].mean())
+        f = float(np.mean([masks.boundary_f(a[x], b[y], radius) for x, y in zip(rows, cols)]))
+        return [(j, f, (j + f) / 2, len(rows))]
+
+    kinds = [("j", pa.float64()), ("f", pa.float64()), ("jf", pa.float64()), ("n", pa.int64())]
+    return per_group(paired(gt, pred, keys, ("id", "rle")), list(keys), run, pa.schema(kinds))
+
+
+def mask_summary(scores: DataFrame, keys=()) -> DataFrame:
+    """Means of j, f and jf over the images that have pairs."""
+    return scores.where("n > 0").groupBy(*keys).agg(F.avg("j").alias("j"), F.avg("f").alias("f"), F.avg("jf").alias("jf"), F.count("*").alias("images"))
+
+
 def cgf1_accumulate(images: DataFrame, keys=()) -> DataFrame:
     """Micro precision, recall and F1 over all images, macro F1 over images with ground truth and predictions, the image-level correlation (MCC), and cgF1 = positive micro F1 * MCC."""
     e, i = 1e-4, 1e-6

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from ..adapters import CTES, observations, points, predictions, table, truth
 from ..functions import geometry as G
+from ..functions import masks as M
 from ..functions import text as T
 from ..functions import vectors as V
-from ..operators import aggregates, alignment, metrics, teta
+from ..operators import aggregates, alignment, metrics, pose_graph, teta
 
 OBS = lambda f: lambda spark, sf_dir: f(observations(spark, sf_dir))
 PTS = lambda f: lambda spark, sf_dir: f(points(spark, sf_dir))
@@ -68,6 +69,24 @@ def _patches(p):
 _AREAS = {"all": (0.0, 1e10), "small": (0.0, 150.0), "large": (150.0, 1e10)}
 
 
+def _graph(o):
+    """Steps of each track's first rows, and a loop that agrees with them: the poses must stay."""
+    rows = o.where("frame_idx < 6")
+    eye = G.yaw_matrix(F.lit(0.0))
+    steps = rows.select(F.col("track_id").alias("seq_id"), F.col("frame_idx").cast("long").alias("chunk"), F.lit(1.0).alias("s"), eye.alias("r"), F.array("x", "y", "z").alias("t"))
+    ends = rows.groupBy(F.col("track_id").alias("seq_id")).agg(F.count("*").alias("i"), F.array(*map(F.sum, "xyz")).alias("t"))
+    loops = ends.select("seq_id", "i", F.lit(0).cast("long").alias("j"), F.lit(1.0).alias("s"), eye.alias("r"), "t")
+    got = pose_graph.optimised_poses(steps, loops)
+    return got.select("seq_id", "node", F.round("s", 4).alias("s"), *[F.round(F.col("t")[i], 4).alias(c) for i, c in enumerate("xyz")])
+
+
+def _masks(g, p):
+    """Boxes on an image of 64 x 64 as masks."""
+    box = [F.least(F.col(c), F.lit(64)).cast("int") for c in ("x0", "y0", "x1", "y1")]
+    rle = F.struct(F.array(F.lit(64), F.lit(64)).alias("size"), M.box_counts(*box, 64).alias("counts"))
+    return metrics.mask_scores(g.select("grp", "id", rle.alias("rle")), p.select("grp", "id", rle.alias("rle"), "score"))
+
+
 def _best_scoring(g, p):
     one = metrics.cgf1_images(g, p.where("grp % 2 = 0")).withColumn("annotator", F.lit(0))
     two = metrics.cgf1_images(g, p.where("grp % 3 = 0")).withColumn("annotator", F.lit(1))
@@ -96,6 +115,8 @@ QUERIES = {
     "average_precision": TWO(lambda g, p: rounded(metrics.average_precision(g, p), ("cat", "iou"))),
     "coco_evaluation": TWO(lambda g, p: rounded(metrics.coco_evaluation(g, p, thresholds=(0.5, 0.75), areas=_AREAS, max_dets=(1, 3)), ("cat", "area", "iou"))),
     "coco_summary": TWO(lambda g, p: rounded(metrics.coco_summary(metrics.coco_evaluation(g, p, thresholds=(0.5, 0.75), areas=_AREAS, max_dets=(1, 3)), (1, 3)), ("area",))),
+    "pose_graph": OBS(_graph),
+    "mask_scores": TWO(lambda g, p: rounded(_masks(g, p), ("grp",))),
     "tracklet_iou": TWO(lambda g, p: rounded(metrics.tracklet_iou(g, p), ("video",))),
     "pose_auc": PTS(lambda p: rounded(metrics.pose_auc(p.withColumn("error", F.col("z") * 2.5), most=30, keys=("obj",)), ("obj",))),
     "pose_errors": PTS(lambda p: _poses(p).select("obj", "pid", F.round("error", 2).alias("error"))),
@@ -183,6 +204,7 @@ n AS (SELECT obj, count(*) AS n FROM b GROUP BY obj), g AS (SELECT obj, n, CAST(
     "average_precision": f"{_Q}, {_evaluation({'all': (0.0, 1e10)}, (100,))} SELECT cat, iou, round(ap, 4) AS ap FROM ev",
     "coco_evaluation": f"{_Q}, {_evaluation(_AREAS, (1, 3))} SELECT cat, area, iou, n_gt, round(ap, 4) AS ap, round(ar_1, 4) AS ar_1, round(ar_3, 4) AS ar_3 FROM ev",
     "coco_summary": f"{_Q}, {_evaluation(_AREAS, (1, 3))} SELECT area, round(avg(ap), 4) AS ap, round(avg(ap) FILTER (WHERE iou = 0.5), 4) AS ap_50, round(avg(ap) FILTER (WHERE iou = 0.75), 4) AS ap_75, round(avg(ar_1), 4) AS ar_1, round(avg(ar_3), 4) AS ar_3 FROM ev GROUP BY area",
+    "pose_graph": f"{_Q} SELECT track_id AS seq_id, CAST(frame_idx + 1 AS BIGINT) AS node, CAST(1 AS DOUBLE) AS s, {', '.join(f'round(sum({c}) OVER w, 4) AS {c}' for c in 'xyz')} FROM obs WHERE frame_idx < 6 WINDOW w AS (PARTITION BY track_id ORDER BY frame_idx) UNION ALL SELECT DISTINCT track_id, 0::BIGINT, 1::DOUBLE, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE FROM obs",
     "tracklet_iou": f"""{_Q}, i AS (SELECT g.video, g.id AS gt_id, p.id AS pred_id, sum({_INTER}) AS i FROM gt g JOIN pred p ON g.video = p.video AND g.grp = p.grp GROUP BY ALL), ga AS (SELECT video, id, sum((x1 - x0) * (y1 - y0)) AS a FROM gt GROUP BY ALL), pa AS (SELECT video, id, sum((x1 - x0) * (y1 - y0)) AS a FROM pred GROUP BY ALL)
 SELECT i.video, gt_id, pred_id, round(i / (ga.a + pa.a - i), 4) AS iou FROM i JOIN ga ON ga.video = i.video AND ga.id = gt_id JOIN pa ON pa.video = i.video AND pa.id = pred_id""",
     "pose_auc": f"{_Q} SELECT obj, round(avg(CASE WHEN z * 2.5e0 <= 30 THEN (30 - least(floor(z * 2.5e0), 29)) / 30 ELSE 0 END), 4) AS auc FROM pts GROUP BY obj",
