@@ -124,15 +124,17 @@ def cgf1_images(gt: DataFrame, pred: DataFrame, keys=("grp",), least_score: floa
 def mask_scores(gt: DataFrame, pred: DataFrame, keys=("grp",), least_score: float = 0.5, radius: int = 1) -> DataFrame:
     """(keys, j, f, jf, n): of the masks (id, rle, and score of predictions) of each image the assignment of the largest total IoU among predictions of least_score or more: mean IoU of its pairs, mean F of their boundaries, and the mean of both. An image without pairs has nulls and n 0."""
 
+    decode, boundary_f = masks.decode, masks.boundary_f  # the functions alone go to the executors
+
     def run(r):
         g, p = r["gt"] or [], [x for x in r["pred"] or [] if x["score"] >= least_score]
-        a, b = ([masks.decode(x["rle"]) for x in side] for side in (g, p))
+        a, b = ([decode(x["rle"]) for x in side] for side in (g, p))
         iou = np.array([[(m & n).sum() / max((m | n).sum(), 1) for n in b] for m in a]).reshape(len(a), len(b))
         rows, cols = assign(-iou)
         if not len(rows):
             return [(None, None, None, 0)]
         j = float(iou[rows, cols].mean())
-        f = float(np.mean([masks.boundary_f(a[x], b[y], radius) for x, y in zip(rows, cols)]))
+        f = float(np.mean([boundary_f(a[x], b[y], radius) for x, y in zip(rows, cols)]))
         return [(j, f, (j + f) / 2, len(rows))]
 
     kinds = [("j", pa.float64()), ("f", pa.float64()), ("jf", pa.float64()), ("n", pa.int64())]
