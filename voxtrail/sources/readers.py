@@ -168,11 +168,18 @@ def annotations_by_image(images: DataFrame, annotations: DataFrame) -> DataFrame
     return joined.withColumn("annotations", F.coalesce("annotations", F.array().cast(packed.schema["annotations"].dataType)))
 
 
+#: Categories whose names are broadcast to the images.
+MOST_CATEGORIES = 100_000
+
+
 def queries_by_category(images: DataFrame, annotations: DataFrame, categories: DataFrame, chunk: int = 20, negatives: bool = True) -> DataFrame:
     """(image_id, chunk, category_id, name, boxes): a query for each category of an image; with negatives also for those without boxes. The number of categories is a fixed list's."""
     cats = categories.select(F.col("id").alias("category_id"), "name").withColumn("chunk", F.floor((F.row_number().over(W.orderBy("category_id")) - 1) / chunk))
     boxes = annotations.groupBy("image_id", "category_id").agg(F.collect_list("bbox").alias("boxes"))
-    rows = images.select(F.col("id").alias("image_id")).crossJoin(F.broadcast(cats)).join(boxes, ["image_id", "category_id"], "left" if negatives else "inner")
+    if not negatives:
+        return boxes.join(images.select(F.col("id").alias("image_id")), "image_id", "left_semi").join(cats, "category_id").select("image_id", "category_id", "name", "chunk", "boxes")
+    few = F.broadcast(cats) if cats.count() <= MOST_CATEGORIES else cats
+    rows = images.select(F.col("id").alias("image_id")).crossJoin(few).join(boxes, ["image_id", "category_id"], "left")
     return rows.withColumn("boxes", F.coalesce("boxes", F.array().cast(boxes.schema["boxes"].dataType)))
 
 

@@ -4,12 +4,15 @@ A track's frames must come in order of their number; a frame that is older than
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..config import DEFAULTS
+from ..operators.graph import shared_dir
 
 STATES = "track_id long, frame_idx int, status string, missing_streak int, run_length int, is_confirmed boolean"
 
@@ -51,11 +54,16 @@ def event_rates(events: DataFrame, every: str = "1 hour", late: str = "10 minute
 
 
 def run_once(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """All that is there now, through a memory sink: for tests and small answers."""
-    q = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+    """All that is there now, as a table in the shared folder: each batch is written under its number, so one that is run again replaces itself; in complete mode the last one replaces all."""
+    root = f"{shared_dir(df.sparkSession)}/voxtrail/{name}-{uuid.uuid4().hex}"
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out/{number if mode == 'append' else 'all'}")
+
+    df.sparkSession.createDataFrame([], df.schema).write.parquet(f"{root}/out/none")
+    q = df.writeStream.outputMode(mode).option("checkpointLocation", f"{root}/progress").foreachBatch(put).trigger(availableNow=True).start()
     try:
-        q.processAllAvailable()
         q.awaitTermination()
     finally:
         q.stop()
-    return df.sparkSession.table(name)
+    return df.sparkSession.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{root}/out")
