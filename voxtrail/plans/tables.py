@@ -80,6 +80,11 @@ def _trimmed(o):
     return tables.trimmed_overlap(frames, 0, 4).select("seq", "chunk", "frame")
 
 
+def _exact_mean(column):
+    """The mean of values of up to eight decimals, summed without rounding, so a mean that lies on a threshold is there in any order of the rows."""
+    return F.avg(F.col(column).cast("decimal(20,8)")).cast("double")
+
+
 def _suffixes(spark, sf_dir):
     images = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 5).alias("scene"), F.concat(F.lit("img_"), F.col("c_custkey").cast("string"), F.lit(".png")).alias("name"))
     listed = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 5).alias("scene"), F.concat((F.col("s_suppkey") * 7).cast("string"), F.lit(".png")).alias("suffix"))
@@ -262,7 +267,7 @@ QUERIES = {
     "trimmed_overlap": OBS(_trimmed),
     "kept_objects": BOX(lambda b: filters.drop_objects(b.withColumns({"is_crowd": F.when(F.col("id") > 1, F.col("id") == 5), "x1": F.when(F.col("id") == 3, F.col("x0")).otherwise(F.col("x1"))})).select("grp", "id")),
     "exhaustive_queries": BOX(lambda b: filters.exhaustive(b.withColumn("flag", F.when(F.col("id") > 2, F.col("id") % 2 == 0)), "flag").select("grp", "id")),
-    "low_texture": PTS(lambda p: p.groupBy("obj").agg(F.stddev_pop("x").alias("s"), (F.avg("conf") / 32).alias("e")).where(filters.low_texture(F.col("s"), F.col("e"))).select("obj")),
+    "low_texture": PTS(lambda p: p.groupBy("obj").agg(F.stddev_pop("x").alias("s"), (_exact_mean("conf") / 32).alias("e")).where(filters.low_texture(F.col("s"), F.col("e"))).select("obj")),
     "uniform_crops": PTS(lambda p: p.groupBy("obj").agg(F.stddev_pop("x").alias("s")).where(filters.uniform_crop(F.col("s") * 0.82)).select("obj")),
     "not_background": BOX(lambda b: filters.not_background(b.select("grp", "id", (B.area(B.box()) / 625).alias("area_frac"), (F.col("x1") - F.col("x0")).alias("size_x"), (F.col("y1") - F.col("y0")).alias("size_y"), ((F.col("id") % 4) / 50).alias("size_z"))).select("grp", "id")),
     "split_tags": BOX(lambda b: b.select("grp", "id", F.array_join(T.split_tags(F.concat(F.lit(" a |"), F.col("grp").cast("string"), F.lit("| |c d"))), ";").alias("tags"))),
