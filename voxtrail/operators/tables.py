@@ -117,9 +117,15 @@ def least_loaded(jobs: DataFrame, loads: DataFrame, keys=("grp",), order=("id",)
 
 
 def without_suffixes(images: DataFrame, listed: DataFrame, scene: str = "scene", name: str = "name") -> DataFrame:
-    """Images of which no listed ending (scene, suffix) of their scene is the end of the name."""
-    marked = listed.groupBy(scene).agg(F.collect_set("suffix").alias("__ends"))
-    return images.join(marked, scene, "left").where(~F.coalesce(F.exists("__ends", lambda s: F.col(name).endswith(s)), F.lit(False))).drop("__ends")
+    """Images of which no listed ending (scene, suffix) of their scene is the end of the name.
+
+    An equi-join on the ends of the names, of the lengths that listed endings have: one row tells the lengths."""
+    ends = listed.select(scene, "suffix").where(F.col("suffix").isNotNull()).distinct()
+    lengths = ends.agg(F.collect_set(F.char_length("suffix")).alias("__lengths"))  # one row
+    tails = images.select(scene, name).where(F.col(name).isNotNull()).crossJoin(F.broadcast(lengths)).withColumn("__n", F.explode("__lengths")).where(F.col("__n") <= F.char_length(name))
+    tails = tails.select(scene, name, F.when(F.col("__n") > 0, F.right(F.col(name), F.col("__n"))).otherwise("").alias("suffix"))
+    hit = tails.join(ends, [scene, "suffix"], "left_semi").select(scene, name).distinct()
+    return images.join(hit, [scene, name], "left_anti").select(*images.columns)
 
 
 def counts_above(df: DataFrame, threshold: float, keys=("grp",), score: str = "score") -> DataFrame:
