@@ -5,8 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,22 @@ SPACE = "[ \\t-\\r]"
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
 
+#: Bytes of text that a Python worker takes up at once.
+SLICE_BYTES = 1 << 20
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in order, in slices of up to size bytes of the text in column, or of one row. A worker then holds Python copies and results of a slice, not of a batch, and Spark reads results of that length."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+        ends, lo = np.cumsum(lengths, dtype=np.int64), 0
+        while lo < batch.num_rows:
+            most = (ends[lo - 1] if lo else 0) + size
+            hi = max(lo + 1, int(np.searchsorted(ends, most, "right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir; where it is unset, a folder of the warehouse, or, if driver and executors are one process, a temporary one."""
     path = spark.conf.get("spark.checkpoint.dir", None)

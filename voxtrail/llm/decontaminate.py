@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
 from .words import _random, mixed, word_hashes
 
 #: Edits, as a share of the item's words, up to which a passage is a leak.
@@ -234,11 +235,9 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDI
     def searcher(shared):
         def run(batches):
             index = Index.load(shared.value)
-            for b in batches:
-                texts, keep = b.column(at).cast(pa.binary()).to_pylist(), []
-                for lo, hi in _grouped(texts):
-                    keep += [not x for x in index.search(texts[lo:hi])]
-                yield b.filter(pa.array(keep, pa.bool_()))
+            for b in slices(batches, at):
+                found = index.search(b.column(at).cast(pa.binary()).to_pylist())
+                yield b.filter(pa.array([not x for x in found], pa.bool_()))
 
         return run
 

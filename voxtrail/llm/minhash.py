@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, unused
+from .common import Scratch, slices, unused
 from .components import connected_components
 from .words import mixed, word_hashes
 
@@ -86,7 +86,7 @@ def _sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, text_key, n_shingles, the two halves of the set's digest, and the bands, for every row; the last three null for an empty set."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 2):
             n, high, low, bands = [], [], [], []
             for data in b.column(2).to_pylist():
                 s = shingles(data)

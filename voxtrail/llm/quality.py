@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 # Common words of four languages.
 COMMON_WORDS = {
     "en": "the of and to in a is that it for was on are with as be by this at from or an have not".split(),
@@ -123,7 +125,7 @@ def quality_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     names = [*COUNTS, "language", "base_failed", "class_distance", "word_distance", "kept"]
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 1):
             got = [judge(t, g, refs) for t, g in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
             cols = [pa.array([x[i] for x in got], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=names)
@@ -138,7 +140,7 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", refs: dic
     at = [docs.columns.index(text), docs.columns.index(lang)]
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, at[0]):
             texts, langs = b.column(at[0]).cast(pa.binary()).to_pylist(), b.column(at[1]).cast(pa.string()).to_pylist()
             yield b.filter(pa.array([judge(t, g, refs)[-1] for t, g in zip(texts, langs)], pa.bool_()))
 
